@@ -81,7 +81,7 @@ class KeyedTable:
         staged.write.mode("append").partitionBy(RANGE).parquet(self.path)
 
     def _stored(self) -> DataFrame:
-        schema = self.spec.schema.add(RANGE, "bigint")
+        schema = self.spec.schema.add(RANGE, "long")
         return self.spark.read.schema(schema).parquet(self.path)
 
     def _ranged(self, rows: DataFrame) -> DataFrame:

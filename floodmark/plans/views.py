@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 from itertools import accumulate
+from operator import add
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +26,14 @@ MEASURES = (
     ("r_drop_bytes", "r_drop_packets"),
 )
 
+# Total columns in report order, with the measure and the methods they add up.
+TOTALS = {
+    f"{measure}_{'_and_'.join(group)}": (measure, group)
+    for pair in MEASURES
+    for group in GROUPS
+    for measure in pair
+}
+
 # Names of mitigation methods fit into the bits of a long; more need a set.
 MAX_FLAGGED_NAMES = 63
 
@@ -125,16 +135,10 @@ def mitigation_types(dims: Dimensions) -> Column:
 def drop_totals() -> dict[str, Column]:
     """The twenty dropped-traffic totals by column name, zero where nothing was dropped."""
     totals = {}
-    for pair in MEASURES:
-        for group in GROUPS:
-            for measure in pair:
-                parts = [F.coalesce(F.col(_part(measure, m)), F.lit(0)) for m in group]
-                total = parts[0]
-                for more in parts[1:]:
-                    total = total + more
-                if measure == "r_drop_bytes":
-                    total = total.cast("decimal(38,0)")
-                totals[f"{measure}_{'_and_'.join(group)}"] = total
+    for name, (measure, group) in TOTALS.items():
+        parts = [F.coalesce(F.col(_part(measure, m)), F.lit(0)) for m in group]
+        total = reduce(add, parts)
+        totals[name] = total.cast("decimal(38,0)") if measure == "r_drop_bytes" else total
     return totals
 
 

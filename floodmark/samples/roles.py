@@ -7,6 +7,7 @@ are mapped nowhere, open alerts and repeated mitigation keys.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -112,9 +113,9 @@ def latest_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_per_key(table(spark, sf_dir, "lineitem"), LINE_KEY, LINE_ARRIVAL)
 
 
-def line_mitigations(lines: DataFrame) -> DataFrame:
-    """Line items as mitigation rows; other columns are dropped."""
-    return lines.select(*_columns(MITIGATION_COLUMNS))
+def line_mitigations(lines: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Line items as mitigation rows, with some of their own columns kept."""
+    return lines.select(*_columns(MITIGATION_COLUMNS), *keep)
 
 
 def mitigations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -132,12 +133,14 @@ def managed_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
 def presentable(rows: DataFrame) -> DataFrame:
     """The same rows in plain column types, for comparing across engines.
 
-    Lists become text, intervals seconds, instants UTC timestamps without zone
-    and wide decimals longs.
+    Lists of names become text, series the number of their points, intervals
+    seconds, instants UTC timestamps without zone and wide decimals longs.
     """
 
     def plain(name: str, kind: str):
         value = F.col(name)
+        if kind == "array<double>":
+            return F.size(value)
         if kind.startswith("array"):
             return F.array_join(value.cast("array<string>"), ",")
         if kind.startswith("interval"):
@@ -151,11 +154,7 @@ def presentable(rows: DataFrame) -> DataFrame:
     return rows.select(*[plain(name, kind).alias(name) for name, kind in rows.dtypes])
 
 
-def rounded(rows: DataFrame, digits: int = 2) -> DataFrame:
-    """Doubles rounded, as sums of doubles depend on the order of adding."""
-    return rows.select(
-        *[
-            F.round(name, digits).alias(name) if kind == "double" else F.col(name)
-            for name, kind in rows.dtypes
-        ]
-    )
+def rounded(rows: DataFrame, columns: Sequence[str], digits: int = 2) -> DataFrame:
+    """Doubles among some columns rounded, as their sums depend on the order of adding."""
+    doubles = [name for name, kind in rows.dtypes if kind == "double" and name in columns]
+    return rows.withColumns({name: F.round(name, digits) for name in doubles})

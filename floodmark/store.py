@@ -81,7 +81,7 @@ class Store:
     # revision, so a crash never loses the last good marks.
 
     def _state_log(self) -> DataFrame:
-        schema = schemas.STATE_TABLE.schema.add(_REVISION, "bigint")
+        schema = schemas.STATE_TABLE.schema.add(_REVISION, "long")
         return self.spark.read.schema(schema).parquet(self._path(schemas.STATE_TABLE))
 
     def _write_state(self, rows: DataFrame, revision: int, mode: str) -> None:
