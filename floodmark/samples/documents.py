@@ -27,35 +27,24 @@ PAGE_SIZE = 50
 LIST_SIZE = 50
 
 _landings: dict[tuple[str, str], Landing] = {}
+_landed: set[tuple[str, str]] = set()
 
 
-def landing_of(spark: SparkSession, sf_dir: str) -> Landing:
-    """The landing zone made from the sample tables, written at first use in a session."""
+def landing_of(spark: SparkSession, sf_dir: str, *kinds: str) -> Landing:
+    """The landing zone made from the sample tables, each kind written at first use."""
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _landings:
-        landing = Landing(spark, f"{new_folder(spark)}/landing")
-        land_all(landing, sf_dir)
-        _landings[key] = landing
-    return _landings[key]
+    landing = _landings.setdefault(key, Landing(spark, f"{new_folder(spark)}/landing"))
+    for kind in kinds:
+        if (landing.root, kind) not in _landed:
+            land(landing, kind, DOCUMENTS_OF[kind](spark, sf_dir))
+            _landed.add((landing.root, kind))
+    return landing
 
 
 def new_folder(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/floodmark/{uuid.uuid4().hex}"
 
 
-def land_all(landing: Landing, sf_dir: str) -> None:
-    spark = landing.spark
-    source = alert_documents(spark, sf_dir)
-    lines = roles.latest_lines(spark, sf_dir)
-    land(landing, "alerts", alert_pages(source))
-    land(landing, "alerts_by_id", alert_replies(source))
-    land(landing, "mitigations", mitigation_replies(lines))
-    land(landing, "device_rates", device_replies(lines))
-    land(landing, "flowspec_rates", flowspec_replies(lines))
-    land(landing, "blackhole_rates", blackhole_replies(lines))
-    land(landing, "managed_objects", managed_object_pages(roles.table(spark, sf_dir, "customer")))
-
-
 def land(landing: Landing, kind: str, documents: DataFrame) -> None:
     """Write documents as one JSON text per line, in folders by batch date."""
     texts = documents if documents.columns == ["batch_at", "value"] else _as_text(documents)
@@ -188,9 +177,12 @@ def page_of(key: str, size: int = PAGE_SIZE) -> Column:
     return F.expr(f"cast({key} div {size} + 1 as int)")
 
 
-def _paged(rows: DataFrame, key: str) -> DataFrame:
+def _last_page(spark: SparkSession, sf_dir: str, table: str, key: str) -> Column:
+    return roles.table(spark, sf_dir, table).agg(F.max(page_of(key))).scalar()
+
+
+def _paged(rows: DataFrame, key: str, total: Column) -> DataFrame:
     """Documents as pages with their total; keys are unique, so a page stays small."""
-    total = rows.agg(F.max("page")).scalar()
     return (
         rows.groupBy("batch_at", "page")
         .agg(F.array_sort(F.collect_list(F.struct(key, "doc"))).alias("docs"))
@@ -203,8 +195,9 @@ def _paged(rows: DataFrame, key: str) -> DataFrame:
     )
 
 
-def alert_pages(source: DataFrame) -> DataFrame:
+def alert_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages of fifty alerts by id, in both deliveries."""
+    source = alert_documents(spark, sf_dir)
     deliveries = (
         (FIRST_BATCH, alert_doc(**first_look())),
         (SECOND_BATCH, alert_doc()),
@@ -214,7 +207,7 @@ def alert_pages(source: DataFrame) -> DataFrame:
         for at, doc in deliveries
     ]
     both = source.select("o_orderkey", page_of("o_orderkey").alias("page"), F.inline(F.array(*docs)))
-    return _paged(both, "o_orderkey")
+    return _paged(both, "o_orderkey", _last_page(spark, sf_dir, "orders", "o_orderkey"))
 
 
 # Replies to questions for one alert: some are refused, some break off.
@@ -222,8 +215,9 @@ REFUSED = "importance = 9"
 BROKEN = "importance = 0 and alert_type = 'dos_profiled_network'"
 
 
-def alert_replies(source: DataFrame) -> DataFrame:
+def alert_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One reply per alert, as JSON text."""
+    source = alert_documents(spark, sf_dir)
     good = F.to_json(F.struct("batch_at", F.col("doc").alias("data")))
     errors = F.struct(F.array(F.struct(F.lit("404").alias("status"))).alias("errors"))
     text = (
@@ -245,13 +239,13 @@ def _detail_batches() -> Column:
     return F.explode(F.array(*batches))
 
 
-def _line_columns(lines: DataFrame) -> DataFrame:
-    """Lines with their mitigation role columns beside their own."""
-    roles_of = [F.expr(sql).alias(name) for name, sql in roles.MITIGATION_COLUMNS.items()]
-    return lines.select("l_orderkey", "l_linenumber", *roles_of)
+def _line_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines as mitigations, with their own keys."""
+    return roles.line_mitigations(roles.latest_lines(spark, sf_dir), roles.LINE_KEY)
 
 
-def mitigation_replies(lines: DataFrame) -> DataFrame:
+def mitigation_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Details of every mitigation."""
     stop = F.col("stop")
     doc = F.struct(
         F.col("mitigation_id").alias("id"),
@@ -266,7 +260,7 @@ def mitigation_replies(lines: DataFrame) -> DataFrame:
         ).alias("attributes"),
         F.struct(_ref(F.col("alert_id")).alias("alert")).alias("relationships"),
     )
-    return _line_columns(lines).select(
+    return _line_columns(spark, sf_dir).select(
         _detail_batches().alias("batch_at"), "mitigation_id", doc.alias("data")
     )
 
@@ -280,7 +274,9 @@ def _alert_text() -> Column:
     return F.col("alert_id").cast("string").alias("alert_id")
 
 
-def device_replies(lines: DataFrame) -> DataFrame:
+def device_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rates of the mitigations by scrubbing devices; third lines have no packet series."""
+
     def stat(unit: str, series: Column) -> Column:
         return F.struct(
             F.col(f"r_drop_{unit}_avg").alias("average"),
@@ -289,7 +285,6 @@ def device_replies(lines: DataFrame) -> DataFrame:
         ).alias(unit)
 
     bits = F.col("r_drop_bps_timeseries")
-    # The third line of an order has no packet series.
     packets = F.when(F.col("l_linenumber") != 3, F.col("r_drop_pps_timeseries"))
     attributes = F.struct(
         _iso(F.col("start")).alias("timeseries_start"),
@@ -297,7 +292,7 @@ def device_replies(lines: DataFrame) -> DataFrame:
         F.struct(F.struct(stat("bps", bits), stat("pps", packets)).alias("drop")).alias("total"),
     )
     return (
-        _line_columns(lines)
+        _line_columns(spark, sf_dir)
         .where("subtype = 'tms'")
         .select(_rates_batch(), _alert_text(), "mitigation_id",
                 F.struct(attributes.alias("attributes")).alias("data"))
@@ -318,7 +313,7 @@ def _view(name: str, unit: str) -> Column:
     return F.struct(F.struct(F.struct(F.struct(_unit_value(unit)).alias("unit")).alias(name)).alias("view"))
 
 
-def flowspec_replies(lines: DataFrame) -> DataFrame:
+def flowspec_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both units of every flowspec, but packets missing for second lines and bits for fourth.
 
     Mitigations of no known method turn up as flowspecs the alert does not list.
@@ -334,7 +329,7 @@ def flowspec_replies(lines: DataFrame) -> DataFrame:
         )
         missing = {"bps": 4, "pps": 2}[unit]
         return (
-            _line_columns(lines)
+            _line_columns(spark, sf_dir)
             .where(F.col("subtype").isin("flowspec", "other") & (F.col("l_linenumber") != missing))
             .select(_rates_batch(), _alert_text(), F.lit(unit).alias("unit"),
                     F.array(entry).alias("data"))
@@ -344,7 +339,7 @@ def flowspec_replies(lines: DataFrame) -> DataFrame:
     return _as_text(reply("bps")).unionByName(_as_text(reply("pps")))
 
 
-def blackhole_replies(lines: DataFrame) -> DataFrame:
+def blackhole_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per blackhole line a page of its alert's rates: one entry that counts, one that does not."""
     counted = F.when(F.col("l_linenumber") % 2 == 1, "misuse_types-7").otherwise("misuse_types-70")
 
@@ -353,7 +348,7 @@ def blackhole_replies(lines: DataFrame) -> DataFrame:
             return F.struct(id_.alias("id"), _view("blackhole", unit).alias("attributes"))
 
         return (
-            _line_columns(lines)
+            _line_columns(spark, sf_dir)
             .where("subtype = 'blackhole'")
             .select(_rates_batch(), F.col("l_linenumber").alias("page"), _alert_text(),
                     F.lit(unit).alias("unit"),
@@ -363,8 +358,9 @@ def blackhole_replies(lines: DataFrame) -> DataFrame:
     return _as_text(reply("bps")).unionByName(_as_text(reply("pps")))
 
 
-def managed_object_pages(customers: DataFrame) -> DataFrame:
+def managed_object_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers as managed objects, renamed between two batches."""
+    customers = roles.table(spark, sf_dir, "customer")
 
     def doc(name: Column) -> Column:
         return F.struct(
@@ -378,4 +374,16 @@ def managed_object_pages(customers: DataFrame) -> DataFrame:
     )
     docs = [F.struct(_batch(at).alias("batch_at"), doc(name).alias("doc")) for at, name in named]
     both = customers.select("c_custkey", page_of("c_custkey").alias("page"), F.inline(F.array(*docs)))
-    return _paged(both, "c_custkey")
+    return _paged(both, "c_custkey", _last_page(spark, sf_dir, "customer", "c_custkey"))
+
+
+# Where the documents of each kind come from.
+DOCUMENTS_OF = {
+    "alerts": alert_pages,
+    "alerts_by_id": alert_replies,
+    "mitigations": mitigation_replies,
+    "device_rates": device_replies,
+    "flowspec_rates": flowspec_replies,
+    "blackhole_rates": blackhole_replies,
+    "managed_objects": managed_object_pages,
+}

@@ -45,11 +45,20 @@ def all_queries() -> dict[str, Query]:
 
 
 def _collections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return loads.collections(documents.landing_of(spark, sf_dir))
+    return loads.collections(documents.landing_of(spark, sf_dir, "alerts"))
 
 
 def _accepted(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
-    return documents.landing_of(spark, sf_dir).accepted(kind)
+    return documents.landing_of(spark, sf_dir, kind).accepted(kind)
+
+
+# Kinds of documents a load of mitigations reads.
+_MITIGATION_KINDS = ("mitigations", "device_rates", "flowspec_rates", "blackhole_rates")
+
+
+def _landing(spark: SparkSession, sf_dir: str, alerts: str = "alerts") -> landed.Landing:
+    """A landing zone with all that a load of alerts reads."""
+    return documents.landing_of(spark, sf_dir, alerts, *_MITIGATION_KINDS)
 
 
 def _doc_id() -> Column:
@@ -100,7 +109,7 @@ def _rate_columns() -> list:
         columns += [
             stat["average"].alias(f"{unit}_avg"),
             stat["max"].alias(f"{unit}_max"),
-            F.size(stat["timeseries"]).alias(f"{unit}_points"),
+            F.array_size(stat["timeseries"]).alias(f"{unit}_points"),
             amounts.series_total(stat["timeseries"], stat["step"]).alias(f"{unit}_sum"),
             stat["timeseries_start"].alias(f"{unit}_start"),
             stat["step"].alias(f"{unit}_step"),
@@ -159,7 +168,7 @@ def scan_managed_objects(spark, sf_dir):
 
 @query
 def scan_reject_errors(spark, sf_dir):
-    replies = documents.landing_of(spark, sf_dir).documents("alerts_by_id")
+    replies = documents.landing_of(spark, sf_dir, "alerts_by_id").documents("alerts_by_id")
     return landed.reply_outcome(replies).groupBy("outcome").agg(
         F.count(F.lit(1)).alias("replies"), F.count("data").alias("alerts")
     )
@@ -337,7 +346,7 @@ def flatten_alerts(spark, sf_dir):
 
 
 def _mitigation_rows(spark, sf_dir) -> DataFrame:
-    landing = documents.landing_of(spark, sf_dir)
+    landing = _landing(spark, sf_dir)
     details = flatten.latest_details(landing.accepted("mitigations"))
     return loads.mitigation_rows(
         loads.collections(landing), details, loads.landed_rates(landing), NOW
@@ -579,7 +588,7 @@ def _store_with(spark, rows: DataFrame, arrival: list[str]) -> Store:
 def initial_load(spark, sf_dir):
     store = Store(spark, f"{documents.new_folder(spark)}/store")
     store.create()
-    loads.initial_load(store, documents.landing_of(spark, sf_dir), NOW, INITIAL_DAYS)
+    loads.initial_load(store, _landing(spark, sf_dir), NOW, INITIAL_DAYS)
     mark = F.lit(store.mark(stores.ALERT_MARK)).cast("timestamp_ntz")
     return roles.presentable(store.alert.read().withColumn("mark", mark))
 
@@ -589,14 +598,14 @@ def incremental_load(spark, sf_dir):
     """All alerts as first seen, then a load of the clamped window since an old mark."""
     store = _store_with(spark, _first_look(roles.alerts(spark, sf_dir)), ["last_updated"])
     store.set_mark(stores.ALERT_MARK, OLD_MARK)
-    loads.incremental_load(store, documents.landing_of(spark, sf_dir), NOW, CLAMP_MINUTES)
+    loads.incremental_load(store, _landing(spark, sf_dir), NOW, CLAMP_MINUTES)
     return roles.presentable(store.alert.read())
 
 
 @query
 def refresh_ongoing(spark, sf_dir):
     store = _store_with(spark, roles.alerts(spark, sf_dir), ["last_updated"])
-    loads.refresh_ongoing(store, documents.landing_of(spark, sf_dir), NOW)
+    loads.refresh_ongoing(store, _landing(spark, sf_dir, "alerts_by_id"), NOW)
     return roles.presentable(store.alert.read())
 
 
@@ -604,7 +613,9 @@ def refresh_ongoing(spark, sf_dir):
 def refresh_managed_objects(spark, sf_dir):
     store = Store(spark, f"{documents.new_folder(spark)}/store")
     store.create()
-    loads.refresh_managed_objects(store, documents.landing_of(spark, sf_dir), NOW)
+    loads.refresh_managed_objects(
+        store, documents.landing_of(spark, sf_dir, "managed_objects"), NOW
+    )
     mark = F.lit(store.mark(stores.MANAGED_OBJECT_MARK)).cast("timestamp_ntz")
     return store.managed_object.read().withColumn("mark", mark)
 
@@ -616,7 +627,7 @@ def stream_upsert(spark, sf_dir):
     store.create()
     stream = stream_alerts(
         store,
-        documents.landing_of(spark, sf_dir),
+        _landing(spark, sf_dir),
         f"{documents.new_folder(spark)}/checkpoint",
         clock=lambda: NOW,
     )

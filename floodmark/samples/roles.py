@@ -140,7 +140,7 @@ def presentable(rows: DataFrame) -> DataFrame:
     def plain(name: str, kind: str):
         value = F.col(name)
         if kind == "array<double>":
-            return F.size(value)
+            return F.array_size(value)
         if kind.startswith("array"):
             return F.array_join(value.cast("array<string>"), ",")
         if kind.startswith("interval"):
