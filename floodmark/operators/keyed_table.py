@@ -57,29 +57,37 @@ class KeyedTable:
         """Replace or add whole rows by key; the last arrival of a key wins.
 
         Only the key ranges present in the batch are read and rewritten.  Old
-        rows are not shuffled: they are anti-joined with the new keys where
-        they lie.  Repeating an upsert changes nothing.
+        rows give way to new ones by an anti-join: with a small batch Spark
+        broadcasts the new keys and old rows stay where they are.  Repeating an
+        upsert changes nothing.
         """
         staged = self._stage(latest_per_key(batch, [self.spec.key], arrival))
         touched = self._ranges_in(staged)
         if not touched:
             return
         old = self._stored().where(F.col(RANGE).isin(touched))
-        kept = old.join(staged.select(self.spec.key), self.spec.key, "left_anti")
+        kept = without_keys(old, staged, self.spec.key)
+        self._write(kept.unionByName(staged), "overwrite")
+
+    def insert_absent(self, batch: DataFrame, arrival: Sequence[str] | None = None) -> None:
+        """Add the rows whose key is not stored yet; stored rows stay as they are."""
+        fresh = first_per_key(batch, [self.spec.key], arrival or [self.spec.key])
+        self._write(self._stage(without_keys(fresh, self.read(), self.spec.key)), "append")
+
+    def _write(self, rows: DataFrame, mode: str) -> None:
+        """Write rows to their key ranges; overwriting replaces the ranges in hand only.
+
+        Rebalancing puts each range into few files of even size.  A range that
+        outgrows the others is split over several tasks.
+        """
         (
-            kept.unionByName(staged)
-            .write.mode("overwrite")
+            rows.hint("rebalance", F.col(RANGE))
+            .write.mode(mode)
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(RANGE)
             .parquet(self.path)
         )
 
-    def insert_absent(self, batch: DataFrame, arrival: Sequence[str] | None = None) -> None:
-        """Add the rows whose key is not stored yet; stored rows stay as they are."""
-        fresh = first_per_key(batch, [self.spec.key], arrival or [self.spec.key])
-        staged = self._stage(without_keys(fresh, self.read(), self.spec.key))
-        staged.write.mode("append").partitionBy(RANGE).parquet(self.path)
-
     def _stored(self) -> DataFrame:
         schema = self.spec.schema.add(RANGE, "long")
         return self.spark.read.schema(schema).parquet(self.path)
@@ -99,9 +107,8 @@ class KeyedTable:
 
         The batch is computed a single time, its true size is known to the
         planner, and a lost executor costs a re-read instead of a recompute.
-        Rebalancing puts each range into few files, splitting large ranges.
         """
-        ranged = self._ranged(rows).hint("rebalance", F.col(RANGE))
+        ranged = self._ranged(rows)
         ranged.write.mode("overwrite").parquet(self.staging_path)
         return self.spark.read.schema(ranged.schema).parquet(self.staging_path)
 

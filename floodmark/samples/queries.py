@@ -252,7 +252,7 @@ def upsert_mitigations(spark, sf_dir):
     """Line items with all their repeated keys, older half first."""
     lines = roles.table(spark, sf_dir, "lineitem")
     rows = roles.line_mitigations(lines, roles.LINE_ARRIVAL)
-    older = F.col("l_shipdate") < F.lit(WINDOW_START)
+    older = F.col("l_shipdate") < times.ntz(WINDOW_START)
     table = _new_table(spark, schemas.MITIGATION_TABLE)
     table.upsert(rows.where(older), roles.LINE_ARRIVAL)
     table.upsert(rows.where(~older), roles.LINE_ARRIVAL)
@@ -589,7 +589,7 @@ def initial_load(spark, sf_dir):
     store = Store(spark, f"{documents.new_folder(spark)}/store")
     store.create()
     loads.initial_load(store, _landing(spark, sf_dir), NOW, INITIAL_DAYS)
-    mark = F.lit(store.mark(stores.ALERT_MARK)).cast("timestamp_ntz")
+    mark = times.ntz(store.mark(stores.ALERT_MARK))
     return roles.presentable(store.alert.read().withColumn("mark", mark))
 
 
@@ -616,7 +616,7 @@ def refresh_managed_objects(spark, sf_dir):
     loads.refresh_managed_objects(
         store, documents.landing_of(spark, sf_dir, "managed_objects"), NOW
     )
-    mark = F.lit(store.mark(stores.MANAGED_OBJECT_MARK)).cast("timestamp_ntz")
+    mark = times.ntz(store.mark(stores.MANAGED_OBJECT_MARK))
     return store.managed_object.read().withColumn("mark", mark)
 
 

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import tempfile
+from functools import cache
 
 from pyspark.sql import SparkSession
 
-# Settings the plans rely on.  Shuffle partitions are left to the cluster: AQE
-# merges small ones and splits skewed ones.
+# Settings the plans rely on.  AQE merges small shuffle partitions and splits
+# skewed ones; how many there are to begin with depends on the data, see
+# ``sized_for``.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
@@ -18,9 +20,34 @@ SETTINGS = {
 }
 
 
-def build_session(app: str = "floodmark", **settings: str) -> SparkSession:
+# A reducer's share of a shuffle, and bounds for the number of reducers.
+SHUFFLE_PARTITION_BYTES = 512 * 2**20
+FEWEST_PARTITIONS, MOST_PARTITIONS = 200, 100_000
+
+
+def sized_for(input_bytes: int) -> dict[str, str]:
+    """Settings for a job that may shuffle all of its input.
+
+    The number of reducers is fixed before AQE can act, and AQE can only lower
+    it, so it is set for the worst case: 100 TB give the upper bound, at about
+    1 GB each.  Files are read and written in pieces that fit it.
+    """
+    wanted = -(-input_bytes // SHUFFLE_PARTITION_BYTES)
+    partitions = min(max(wanted, FEWEST_PARTITIONS), MOST_PARTITIONS)
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+        "spark.sql.files.maxPartitionBytes": "256m",
+    }
+
+
+def build_session(
+    app: str = "floodmark", input_bytes: int | None = None, **settings: str
+) -> SparkSession:
+    """A session with the settings above, sized for the input where it is given."""
+    sized = {} if input_bytes is None else sized_for(input_bytes)
     builder = SparkSession.builder.appName(app)
-    for name, value in {**SETTINGS, **settings}.items():
+    for name, value in {**SETTINGS, **sized, **settings}.items():
         builder = builder.config(name, value)
     return builder.getOrCreate()
 
@@ -28,10 +55,17 @@ def build_session(app: str = "floodmark", **settings: str) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, as the cluster names it.
 
-    Only where the session names none (a plain local run) is a temporary folder used.
+    A plain local run that names none gets a temporary folder; a cluster must
+    name one.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        named = tempfile.mkdtemp(prefix="floodmark-")
-        spark.conf.set("spark.checkpoint.dir", named)
-    return named.rstrip("/")
+    if named:
+        return named.rstrip("/")
+    if not spark.conf.get("spark.master", "").startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder shared by the cluster")
+    return _local_folder()
+
+
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="floodmark-")

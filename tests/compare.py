@@ -1,6 +1,6 @@
 """Compare queries with their SQL, row by row.
 
-Run as a script for a report: python tests/compare.py [folder] [query ...]
+Run as a script for a report: python tests/compare.py [folder] [query ...] [setting=value ...]
 """
 
 from __future__ import annotations
@@ -74,7 +74,9 @@ def differences(frame, con, sql) -> str | None:
     return text
 
 
-def main(sf_dir, only):
+def main(sf_dir, *words):
+    only = [word for word in words if "=" not in word]
+    changed = dict(word.split("=") for word in words if "=" in word)
     sys.path.insert(0, str(pathlib.Path(__file__).resolve().parents[1]))
     import __spark_entry__ as entry
     from floodmark.session import build_session
@@ -87,6 +89,7 @@ def main(sf_dir, only):
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "8g",
+            **changed,
         },
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -104,4 +107,4 @@ def main(sf_dir, only):
 
 
 if __name__ == "__main__":
-    main(sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.001", sys.argv[2:])
+    main(*(sys.argv[1:] or ["/root/testdata/sf0.001"]))
