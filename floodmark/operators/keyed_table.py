@@ -38,10 +38,11 @@ class KeyedTable:
     def staging_path(self) -> str:
         return f"{self.root}/_staging/{self.spec.name}"
 
-    def create(self) -> None:
-        """Make the table empty, dropping whatever it held."""
-        empty = self.spark.createDataFrame([], self.spec.schema)
-        self._ranged(empty).write.mode("overwrite").partitionBy(RANGE).parquet(self.path)
+    def create(self, rows: DataFrame | None = None) -> None:
+        """Make the table anew with the given rows or none, dropping whatever it held."""
+        if rows is None:
+            rows = self.spark.createDataFrame([], self.spec.schema)
+        self._ranged(rows).write.mode("overwrite").partitionBy(RANGE).parquet(self.path)
 
     def exists(self) -> bool:
         try:

@@ -101,7 +101,9 @@ def mitigation_totals(report: DataFrame, dims: Dimensions) -> DataFrame:
 
     def part(measure: str, method: str) -> Column:
         # Byte counts are whole numbers and are added up as such, without overflow.
-        value = F.col(measure).cast("decimal(19,0)") if measure == "r_drop_bytes" else F.col(measure)
+        value = F.col(measure)
+        if measure == "r_drop_bytes":
+            value = value.cast("decimal(19,0)")
         return F.sum(F.when(F.col("subtype") == method, value)).alias(_part(measure, method))
 
     parts = [part(m, method) for pair in MEASURES for m in pair for method in METHODS]

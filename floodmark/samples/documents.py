@@ -206,7 +206,8 @@ def alert_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(part_batch(at, F.col("part")).alias("batch_at"), doc.alias("doc"))
         for at, doc in deliveries
     ]
-    both = source.select("o_orderkey", page_of("o_orderkey").alias("page"), F.inline(F.array(*docs)))
+    page = page_of("o_orderkey").alias("page")
+    both = source.select("o_orderkey", page, F.inline(F.array(*docs)))
     return _paged(both, "o_orderkey", _last_page(spark, sf_dir, "orders", "o_orderkey"))
 
 
@@ -310,7 +311,8 @@ def _unit_value(unit: str) -> Column:
 
 
 def _view(name: str, unit: str) -> Column:
-    return F.struct(F.struct(F.struct(F.struct(_unit_value(unit)).alias("unit")).alias(name)).alias("view"))
+    in_unit = F.struct(_unit_value(unit)).alias("unit")
+    return F.struct(F.struct(F.struct(in_unit).alias(name)).alias("view"))
 
 
 def flowspec_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -373,7 +375,8 @@ def managed_object_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         (SECOND_BATCH, F.col("c_name")),
     )
     docs = [F.struct(_batch(at).alias("batch_at"), doc(name).alias("doc")) for at, name in named]
-    both = customers.select("c_custkey", page_of("c_custkey").alias("page"), F.inline(F.array(*docs)))
+    page = page_of("c_custkey").alias("page")
+    both = customers.select("c_custkey", page, F.inline(F.array(*docs)))
     return _paged(both, "c_custkey", _last_page(spark, sf_dir, "customer", "c_custkey"))
 
 

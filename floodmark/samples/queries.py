@@ -373,7 +373,9 @@ def default_fast_detected(spark, sf_dir):
 @query
 def managed_object_fallback(spark, sf_dir):
     owner = flatten.owner_id(F.col("doc.relationships"))
-    return _collections(spark, sf_dir).select("batch_at", _doc_id(), owner.alias("managed_object_id"))
+    return _collections(spark, sf_dir).select(
+        "batch_at", _doc_id(), owner.alias("managed_object_id")
+    )
 
 
 def _pairs(spark, sf_dir) -> DataFrame:
@@ -420,7 +422,8 @@ def rate_window_bounds(spark, sf_dir):
 def lookback_window(spark, sf_dir):
     """Events in a load window, with the bounds of two more windows ending at the event."""
     ts = F.col("ts")
-    return roles.table(spark, sf_dir, "events").where(ts > times.lookback(times.ntz(EVENT_MARK))).select(
+    events = roles.table(spark, sf_dir, "events")
+    return events.where(ts > times.lookback(times.ntz(EVENT_MARK))).select(
         "event_id",
         times.lookback(ts).alias("two_hours_before"),
         (ts - F.make_dt_interval(days=F.lit(loads.INITIAL_DAYS))).alias("initial_start"),

@@ -146,7 +146,8 @@ def presentable(rows: DataFrame) -> DataFrame:
         if kind.startswith("interval"):
             return value.cast("interval second").cast("decimal(20,6)").cast("double")
         if kind == "timestamp":
-            return F.convert_timezone(F.current_timezone(), F.lit("UTC"), value.cast("timestamp_ntz"))
+            local = value.cast("timestamp_ntz")
+            return F.convert_timezone(F.current_timezone(), F.lit("UTC"), local)
         if kind.startswith("decimal"):
             return value.cast("bigint")
         return value

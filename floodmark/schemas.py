@@ -112,7 +112,8 @@ _META = "meta struct<pagination: struct<totalPages: int>>"
 
 def _view_entry(view: str) -> str:
     return f"""struct<id: string, relationships: struct<mitigation: {_REF}>,
-        attributes: struct<view: struct<{view}: struct<unit: struct<bps: {_UNIT}, pps: {_UNIT}>>>>>"""
+        attributes: struct<view: struct<{view}: struct<
+            unit: struct<bps: {_UNIT}, pps: {_UNIT}>>>>>"""
 
 
 ALERT_PAGE = f"batch_at string, page int, data array<{ALERT_DOC}>, {_META}"

@@ -75,6 +75,8 @@ def literal_rows(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame:
 
 
 def _literal(value) -> str:
+    if value is None:
+        return "null"
     if isinstance(value, int):
         return str(value)
     text = value.isoformat(sep=" ") if isinstance(value, datetime) else str(value)

@@ -50,11 +50,9 @@ class Store:
 
         The state row is written last: it tells that the rest is complete.
         """
-        for table in (self.alert, self.alert_mitigations, self.managed_object):
+        for table in (self.alert, self.alert_mitigations):
             table.create()
-        self.managed_object.insert_absent(
-            seeds.seed_frame(self.spark, schemas.MANAGED_OBJECT_TABLE)
-        )
+        self.managed_object.create(seeds.seed_frame(self.spark, schemas.MANAGED_OBJECT_TABLE))
         for spec in (schemas.IMPORTANCE_TABLE, schemas.ALERT_TYPE_TABLE, schemas.SUBTYPE_TABLE):
             rows = seeds.seed_frame(self.spark, spec)
             rows.coalesce(1).write.mode("overwrite").parquet(self._path(spec))
@@ -88,9 +86,11 @@ class Store:
         numbered = rows.withColumn(_REVISION, F.lit(revision).cast("bigint"))
         numbered.coalesce(1).write.mode(mode).parquet(self._path(schemas.STATE_TABLE))
 
+    def _latest_state(self) -> DataFrame:
+        return latest_per_key(self._state_log(), ["id"], [_REVISION])
+
     def state(self) -> DataFrame:
-        current = latest_per_key(self._state_log(), ["id"], [_REVISION])
-        return current.select(*schemas.STATE_TABLE.columns)
+        return self._latest_state().select(*schemas.STATE_TABLE.columns)
 
     def mark(self, field: str) -> datetime | None:
         """One load mark, by name; none where the state row is missing."""
@@ -98,10 +98,10 @@ class Store:
         return row[0] if row else None
 
     def set_mark(self, field: str, moment: datetime) -> None:
-        revision = self._state_log().agg(F.max(_REVISION)).first()[0]
         # Taken from memory: the folder must not be read while it is appended to.
-        row = self.spark.createDataFrame(self.state().collect(), schemas.STATE_TABLE.schema)
-        self._write_state(move_mark(row, field, moment), revision + 1, "append")
+        *row, revision = self._latest_state().first()
+        current = seeds.literal_rows(self.spark, [tuple(row)], schemas.OPERATIONAL_INFO)
+        self._write_state(move_mark(current, field, moment), revision + 1, "append")
 
     def needs_initial_load(self) -> bool:
         return bool(self.state().select(needs_initial_load().alias("needed")).first()[0])

@@ -1,8 +1,11 @@
 from datetime import datetime, timedelta
 
 from conftest import NOW, alert, by_id, detail, device_rates, page, put
+from floodmark import job
 from floodmark import store as stores
 from floodmark.plans import loads
+from floodmark.store import Store
+from floodmark.streaming.stream_load import utc_now
 
 
 def managed_objects(*named, batch="2024-05-02T00:00:00"):
@@ -123,3 +126,15 @@ def test_window_start():
     assert loads.window_start(mark, NOW, None) == mark
     assert loads.window_start(mark, NOW, 60) == NOW - timedelta(minutes=60)
     assert loads.window_start(NOW, NOW, 60) == NOW
+
+
+def test_job_runs_one_cycle(spark, store, landing):
+    recent = stamp(utc_now().replace(microsecond=0) - timedelta(hours=1))
+    put(landing, "alerts", page(alert(1, start_time=recent), alert(2)))
+    words = ["--store", store.root, "--landing", landing.root]
+    job.main([*words, "--initial-days", "1"])
+    loaded = Store(spark, store.root)
+    assert set(by_id(loaded.alert.read())) == {1}
+    assert not loaded.needs_initial_load()
+    job.main([*words, "--stream", f"{store.root}/checkpoint"])
+    assert set(by_id(loaded.alert.read())) == {1, 2}
