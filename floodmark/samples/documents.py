@@ -21,7 +21,6 @@ from floodmark.sources.landing import BATCH_DATE, Landing
 FIRST_BATCH = datetime(2001, 12, 30)
 SECOND_BATCH = datetime(2001, 12, 31)
 REPLY_BATCH = datetime(2002, 1, 1)
-PAGE_SIZE = 50
 # Mitigations listed by one delivery of an alert.  Further ones follow in the
 # next deliveries, a second apart, so that no document grows without bound.
 LIST_SIZE = 50
@@ -173,42 +172,43 @@ def part_batch(moment: datetime, part: Column) -> Column:
     )
 
 
-def page_of(key: str, size: int = PAGE_SIZE) -> Column:
-    return F.expr(f"cast({key} div {size} + 1 as int)")
+def page_number(key: str) -> Column:
+    """One page per id: nothing has to be gathered to fill a page."""
+    return F.expr(f"cast({key} + 1 as int)")
 
 
-def _last_page(spark: SparkSession, sf_dir: str, table: str, key: str) -> Column:
-    return roles.table(spark, sf_dir, table).agg(F.max(page_of(key))).scalar()
+def _pages(
+    rows: DataFrame, key: str, last_page: Column, deliveries: list[tuple[Column, list[Column]]]
+) -> DataFrame:
+    """Pages with their total.  ``deliveries`` are batch times with the documents on a page."""
+    pages = [
+        F.struct(batch.alias("batch_at"), F.array(*docs).alias("data"))
+        for batch, docs in deliveries
+    ]
+    return rows.select(
+        page_number(key).alias("page"),
+        F.struct(F.struct(last_page.alias("totalPages")).alias("pagination")).alias("meta"),
+        F.inline(F.array(*pages)),
+    )
 
 
-def _paged(rows: DataFrame, key: str, total: Column) -> DataFrame:
-    """Documents as pages with their total; keys are unique, so a page stays small."""
-    return (
-        rows.groupBy("batch_at", "page")
-        .agg(F.array_sort(F.collect_list(F.struct(key, "doc"))).alias("docs"))
-        .select(
-            "batch_at",
-            "page",
-            F.transform("docs", lambda d: d["doc"]).alias("data"),
-            F.struct(F.struct(total.alias("totalPages")).alias("pagination")).alias("meta"),
-        )
-    )
+def _last_page(spark: SparkSession, sf_dir: str, table: str, key: str) -> Column:
+    return roles.table(spark, sf_dir, table).agg(F.max(page_number(key))).scalar()
 
 
 def alert_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages of fifty alerts by id, in both deliveries."""
-    source = alert_documents(spark, sf_dir)
-    deliveries = (
-        (FIRST_BATCH, alert_doc(**first_look())),
-        (SECOND_BATCH, alert_doc()),
+    """Both deliveries of every alert; the page of the second repeats the first."""
+    first, last = alert_doc(**first_look()), alert_doc()
+    part = F.col("part")
+    return _pages(
+        alert_documents(spark, sf_dir),
+        "o_orderkey",
+        _last_page(spark, sf_dir, "orders", "o_orderkey"),
+        [
+            (part_batch(FIRST_BATCH, part), [first]),
+            (part_batch(SECOND_BATCH, part), [first, last]),
+        ],
     )
-    docs = [
-        F.struct(part_batch(at, F.col("part")).alias("batch_at"), doc.alias("doc"))
-        for at, doc in deliveries
-    ]
-    page = page_of("o_orderkey").alias("page")
-    both = source.select("o_orderkey", page, F.inline(F.array(*docs)))
-    return _paged(both, "o_orderkey", _last_page(spark, sf_dir, "orders", "o_orderkey"))
 
 
 # Replies to questions for one alert: some are refused, some break off.
@@ -370,14 +370,13 @@ def managed_object_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.struct(name.alias("name")).alias("attributes"),
         )
 
-    named = (
-        (FIRST_BATCH, F.concat(F.lit("Former "), F.col("c_name"))),
-        (SECOND_BATCH, F.col("c_name")),
+    former, name = doc(F.concat(F.lit("Former "), F.col("c_name"))), doc(F.col("c_name"))
+    return _pages(
+        customers,
+        "c_custkey",
+        _last_page(spark, sf_dir, "customer", "c_custkey"),
+        [(_batch(FIRST_BATCH), [former]), (_batch(SECOND_BATCH), [former, name])],
     )
-    docs = [F.struct(_batch(at).alias("batch_at"), doc(name).alias("doc")) for at, name in named]
-    page = page_of("c_custkey").alias("page")
-    both = customers.select("c_custkey", page, F.inline(F.array(*docs)))
-    return _paged(both, "c_custkey", _last_page(spark, sf_dir, "customer", "c_custkey"))
 
 
 # Where the documents of each kind come from.
