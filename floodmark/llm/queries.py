@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from floodmark.llm.near_dedup import op5_near_dedup
 from floodmark.llm.packing import op2_best_fit_packing
 from floodmark.llm.sharding import op7_uniform_sharding
 from floodmark.llm.token_counts import op9_token_counts
 
 QUERIES = [
     op2_best_fit_packing,
+    op5_near_dedup,
     op7_uniform_sharding,
     op9_token_counts,
 ]
