@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from floodmark.llm.line_dedup import OP10_SQL, op10_line_dedup
 from floodmark.llm.near_dedup import op5_near_dedup
 from floodmark.llm.packing import op2_best_fit_packing
 from floodmark.llm.sharding import op7_uniform_sharding
@@ -12,9 +13,10 @@ QUERIES = [
     op5_near_dedup,
     op7_uniform_sharding,
     op9_token_counts,
+    op10_line_dedup,
 ]
 
-ORACLES: dict[str, str] = {}
+ORACLES = {"op10_line_dedup": OP10_SQL}
 
 
 def all_queries():
