@@ -25,8 +25,8 @@ SPACES = np.zeros(256, bool)
 SPACES[[0x20, *range(0x09, 0x0E)]] = True
 # Everything of ASCII but letters and digits; bytes of other letters belong to words.
 MARKS = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[ord("A") : ord("Z") + 1] += 32
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[ord("A") : ord("Z") + 1] += 32
 _POWER = 0x9E3779B97F4A7C15 | 1
 _BYTE = np.random.default_rng(7).integers(1, 2**63, 256).astype(U64)
 
@@ -131,7 +131,7 @@ def words_of(
         power = np.full(int(lengths.max()), _POWER, U64)
         power[0] = 1
         np.multiply.accumulate(power, out=power)
-        value = _BYTE[_LOWER[chars] if fold else chars]
+        value = _BYTE[LOWER[chars] if fold else chars]
         value *= power[place]
         hashes.append(mixed(np.add.reduceat(value, base) + lengths.astype(U64)))
         starts.append(s + begin)

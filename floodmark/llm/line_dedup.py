@@ -136,7 +136,7 @@ with lines as (
         sum(length(line) + 1) over (partition by doc_id order by n) - length(line) - 1 as begin_at,
         array_to_string(list_filter(string_split_regex(
             translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-            '[\x20\x09-\x0D]+'), x -> x <> ''), ' ') as unit
+            '[\x20\x09-\x0D]+'), lambda x: x <> ''), ' ') as unit
     from (
         select doc_id, hash_of, unnest(list) as line, generate_subscripts(list, 1) as n
         from (select doc_id, 0 as hash_of, string_split(coalesce(text, ''), chr(10)) as list from documents)

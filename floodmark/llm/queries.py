@@ -7,9 +7,11 @@ from floodmark.llm.near_dedup import op5_near_dedup
 from floodmark.llm.packing import op2_best_fit_packing
 from floodmark.llm.sharding import op7_uniform_sharding
 from floodmark.llm.token_counts import op9_token_counts
+from floodmark.llm.toxicity import op4_toxicity
 
 QUERIES = [
     op2_best_fit_packing,
+    op4_toxicity,
     op5_near_dedup,
     op7_uniform_sharding,
     op9_token_counts,
