@@ -5,6 +5,7 @@ from __future__ import annotations
 from floodmark.llm.line_dedup import OP10_SQL, op10_line_dedup
 from floodmark.llm.near_dedup import op5_near_dedup
 from floodmark.llm.packing import op2_best_fit_packing
+from floodmark.llm.quality import op6_quality
 from floodmark.llm.sharding import op7_uniform_sharding
 from floodmark.llm.token_counts import op9_token_counts
 from floodmark.llm.toxicity import op4_toxicity
@@ -13,6 +14,7 @@ QUERIES = [
     op2_best_fit_packing,
     op4_toxicity,
     op5_near_dedup,
+    op6_quality,
     op7_uniform_sharding,
     op9_token_counts,
     op10_line_dedup,
