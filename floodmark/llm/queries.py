@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from floodmark.llm.decontamination import op3_decontamination
 from floodmark.llm.line_dedup import OP10_SQL, op10_line_dedup
 from floodmark.llm.near_dedup import op5_near_dedup
 from floodmark.llm.packing import op2_best_fit_packing
@@ -12,6 +13,7 @@ from floodmark.llm.toxicity import op4_toxicity
 
 QUERIES = [
     op2_best_fit_packing,
+    op3_decontamination,
     op4_toxicity,
     op5_near_dedup,
     op6_quality,
