@@ -40,7 +40,7 @@ CELLS = 1 << 20
 _ODD = np.random.default_rng(13).integers(1, 2**63, SEED_WORDS).astype(U64) * U64(2) + U64(1)
 
 _MATCHES = (
-    "doc_id long, item_id long, score double, begin int, end int, item_begin int, item_end int, seeds int"
+    "doc_id long, text_hash long, item_id long, score double, begin int, end int, item_begin int, item_end int, seeds int"
 )
 
 
@@ -225,11 +225,12 @@ def matches(texts: DataFrame, items: Items, threshold: float) -> DataFrame:
             return None
         rows = sorted(found.items())
         column = lambda k: [value[k] for _, value in rows]
-        ids = part.column("doc_id").take(pa.array([text for (text, _), _ in rows]))
+        at_text = pa.array([text for (text, _), _ in rows])
+        ids, names_of = part.column("doc_id").take(at_text), part.column("text_hash").take(at_text)
         item_ids = pa.array([block.ids[item] for (_, item), _ in rows], pa.int64())
         ints = [pa.array(column(k), pa.int32()) for k in range(1, 6)]
-        names = ["doc_id", "item_id", "score", "begin", "end", "item_begin", "item_end", "seeds"]
-        return pa.RecordBatch.from_arrays([ids, item_ids, pa.array(column(0)), *ints], names)
+        names = ["doc_id", "text_hash", "item_id", "score", "begin", "end", "item_begin", "item_end", "seeds"]
+        return pa.RecordBatch.from_arrays([ids, names_of, item_ids, pa.array(column(0)), *ints], names)
 
     return texts.mapInArrow(by_slices(find), _MATCHES)
 
@@ -246,10 +247,10 @@ def find_contamination(
 ) -> DataFrame:
     """One row per contaminated row and benchmark item.
 
-    begin and end are bytes of the text, item_begin and item_end words of the item,
-    seeds the number of places where a seed laid the item beside the text.
+    text_hash is xxhash64 of the text, begin and end are bytes of it, item_begin and
+    item_end words of the item, seeds the number of places where a seed laid the item beside the text.
     """
-    texts = texts_of(docs, id_col, text_col)
+    texts = texts_of(docs, id_col, text_col).withColumn("text_hash", F.xxhash64("text"))
     wanted = texts_of(benchmark, item_id_col, item_text_col).filter("text <> ''")
     volume = wanted.agg(F.sum(F.octet_length("text").cast("long") + 16)).first()[0] or 0
     blocks = -(-2 * volume // block_bytes)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from floodmark.llm.common import U64, by_slices, bytes_of, mixed, read, texts_of, words_of, written
+from floodmark.llm.common import U64, by_slices, bytes_of, mixed, read, words_of, written
 
 _UNITS = "doc_id long, text_hash long, line int, digest_a long, digest_b long"
 _SPAN = "array<struct<begin: int, end: int>>"
@@ -101,13 +101,23 @@ def _removed(text: str, foreign: list[int]) -> tuple[str, list[dict], list[dict]
     return stays, kept, removed
 
 
-def remove_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, text (what stays), kept and removed (stretches of the original text) of each row."""
-    texts = texts_of(docs, id_col, text_col).withColumn("text_hash", F.xxhash64("text"))
-    found = written(units(texts), "units")
+def remove_repeated_lines(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()
+) -> DataFrame:
+    """doc_id, text (what stays), kept and removed (stretches of the original text) of each row.
+
+    The columns ``carry`` come back too, in a struct ``carried``.
+    """
+    texts = docs.select(
+        F.col(id_col).cast("long").alias("doc_id"),
+        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
+        F.struct(*[F.col(c) for c in carry] or [F.lit(True).alias("none")]).alias("carried"),
+    ).withColumn("text_hash", F.xxhash64("text"))
+    found = written(units(texts.drop("carried")), "units")
     foreign = foreign_units(found)
     on = texts["doc_id"].eqNullSafe(foreign["doc_id"]) & (texts["text_hash"] == foreign["text_hash"])
-    marked = texts.join(foreign, on, "left").select(texts["doc_id"], "text", "foreign")
+    marked = texts.join(foreign, on, "left").select(texts["doc_id"], "text", "foreign", "carried")
+    carried = texts.schema["carried"].dataType.simpleString()
 
     def cut(part):
         rows = [
@@ -117,11 +127,15 @@ def remove_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
         span = pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32())]))
         text, kept, removed = zip(*rows)
         return pa.RecordBatch.from_arrays(
-            [part.column("doc_id"), pa.array(text, pa.string()), pa.array(kept, span), pa.array(removed, span)],
-            ["doc_id", "text", "kept", "removed"],
-        )
+            [part.column("doc_id"), pa.array(text, pa.string()), pa.array(kept, span), pa.array(removed, span),
+             part.column("carried")],
+            ["doc_id", "text", "kept", "removed", "carried"],
+        )
 
-    return marked.mapInArrow(by_slices(cut), f"doc_id long, text string, kept {_SPAN}, removed {_SPAN}")
+    out = marked.mapInArrow(
+        by_slices(cut), f"doc_id long, text string, kept {_SPAN}, removed {_SPAN}, carried {carried}"
+    )
+    return out if carry else out.drop("carried")
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -159,7 +159,7 @@ def maximal_segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
 
 
 def segments(texts: DataFrame, model: Model) -> DataFrame:
-    """doc_id, n_tokens and all maximal segments (begin and end in bytes of the text)."""
+    """doc_id, text_hash, n_tokens and all maximal segments (begin and end in bytes of the text)."""
     shipped = texts.sparkSession.sparkContext.broadcast(model.score.astype(np.float32))
 
     def scan(part):
@@ -179,13 +179,13 @@ def segments(texts: DataFrame, model: Model) -> DataFrame:
             )
         kind = pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
         return pa.RecordBatch.from_arrays(
-            [part.column("doc_id"), pa.array(np.diff(first)), pa.array(out, kind)],
-            ["doc_id", "n_tokens", "segments"],
+            [part.column("doc_id"), part.column("text_hash"), pa.array(np.diff(first)), pa.array(out, kind)],
+            ["doc_id", "text_hash", "n_tokens", "segments"],
         )
 
     return texts.mapInArrow(
         by_slices(scan),
-        "doc_id long, n_tokens long, segments array<struct<begin: int, end: int, score: double>>",
+        "doc_id long, text_hash long, n_tokens long, segments array<struct<begin: int, end: int, score: double>>",
     )
 
 
@@ -220,12 +220,12 @@ def score_toxicity(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """doc_id, n_tokens, score (0 to 1) and passages of each row.
+    """doc_id, text_hash (xxhash64), n_tokens, score (0 to 1) and passages of each row.
 
     ``labels`` has doc_id and toxic (0 or 1), of the rows to learn from.
     """
     spark = docs.sparkSession
-    texts = texts_of(docs, id_col, text_col)
+    texts = texts_of(docs, id_col, text_col).withColumn("text_hash", F.xxhash64("text"))
     # At most twice per_class rows of two numbers.
     sample = written(bounded_labels(labels, "toxic", per_class), "labels")
     counts = token_counts(texts.join(F.broadcast(sample), "doc_id", "left")).toPandas()
@@ -268,7 +268,7 @@ def score_toxicity(
         score = 1 / (1 + F.exp(-z))
     else:
         score = F.lit(0.0)
-    return evidence.select("doc_id", "n_tokens", score.alias("score"), passages.alias("passages"))
+    return evidence.select("doc_id", "text_hash", "n_tokens", score.alias("score"), passages.alias("passages"))
 
 
 def fold(id_: str, of: int):
