@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from floodmark.llm.decontamination import op3_decontamination
+from floodmark.llm.graph_search import op8_graph_search
 from floodmark.llm.line_dedup import OP10_SQL, op10_line_dedup
 from floodmark.llm.near_dedup import op5_near_dedup
 from floodmark.llm.packing import op2_best_fit_packing
@@ -18,6 +19,7 @@ QUERIES = [
     op5_near_dedup,
     op6_quality,
     op7_uniform_sharding,
+    op8_graph_search,
     op9_token_counts,
     op10_line_dedup,
 ]
