@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from floodmark.llm.decontamination import op3_decontamination
 from floodmark.llm.graph_search import op8_graph_search
+from floodmark.llm.licences import op1_licence_scan
 from floodmark.llm.line_dedup import OP10_SQL, op10_line_dedup
 from floodmark.llm.near_dedup import op5_near_dedup
 from floodmark.llm.packing import op2_best_fit_packing
@@ -13,6 +14,7 @@ from floodmark.llm.token_counts import op9_token_counts
 from floodmark.llm.toxicity import op4_toxicity
 
 QUERIES = [
+    op1_licence_scan,
     op2_best_fit_packing,
     op3_decontamination,
     op4_toxicity,
