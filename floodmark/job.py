@@ -11,8 +11,8 @@ from __future__ import annotations
 import argparse
 
 from floodmark.plans import loads
-from floodmark.session import build_session
-from floodmark.sources.landing import Landing
+from floodmark.session import build_session, size_for_inputs
+from floodmark.sources.landing import DOCUMENTS, Landing
 from floodmark.store import Store
 from floodmark.streaming.stream_load import stream_alerts, utc_now
 
@@ -30,7 +30,12 @@ def arguments(words: list[str] | None = None) -> argparse.Namespace:
         help=f"clamp later loads to the last minutes ({loads.UPDATE_MINUTES} is usual);"
         " older alerts are then left out",
     )
-    parser.add_argument("--input-bytes", type=int, help="size of the input, to size shuffles by")
+    parser.add_argument(
+        "--input-bytes", type=int, help="size shuffles by this instead of by the landed files"
+    )
+    parser.add_argument(
+        "--files-per-batch", type=int, help="with --stream: files of alert pages per micro-batch"
+    )
     parser.add_argument(
         "--stream", metavar="CHECKPOINT", help="load new alert pages as a stream instead"
     )
@@ -41,6 +46,8 @@ def main(words: list[str] | None = None) -> None:
     args = arguments(words)
     spark = build_session("floodmark-load", args.input_bytes)
     store, landing = Store(spark, args.store), Landing(spark, args.landing)
+    if args.input_bytes is None:
+        size_for_inputs(spark, *(landing.documents(kind) for kind in DOCUMENTS))
     now = utc_now()
     if args.stream is None:
         loads.run_cycle(store, landing, now, args.initial_days, args.max_minutes)
@@ -48,7 +55,10 @@ def main(words: list[str] | None = None) -> None:
     if not store.exists():
         store.create()
     loads.refresh_managed_objects(store, landing, now)
-    stream_alerts(store, landing, args.stream).awaitTermination()
+    stream = stream_alerts(
+        store, landing, args.stream, files_per_batch=args.files_per_batch
+    )
+    stream.awaitTermination()
 
 
 if __name__ == "__main__":

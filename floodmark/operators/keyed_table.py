@@ -42,7 +42,9 @@ class KeyedTable:
         """Make the table anew with the given rows or none, dropping whatever it held."""
         if rows is None:
             rows = self.spark.createDataFrame([], self.spec.schema)
-        self._ranged(rows).write.mode("overwrite").partitionBy(RANGE).parquet(self.path)
+        # All of it goes, also where the session replaces single partitions only.
+        everything = self._ranged(rows).write.option("partitionOverwriteMode", "static")
+        everything.mode("overwrite").partitionBy(RANGE).parquet(self.path)
 
     def exists(self) -> bool:
         try:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from functools import reduce
-from itertools import accumulate
 from operator import add
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,8 +16,11 @@ from floodmark.functions import amounts, names, times
 # together, all three together.
 METHODS = (names.TMS, names.FLOWSPEC, names.BLACKHOLE)
 GROUPS = (
-    *[(method,) for method in METHODS],
-    *[tuple(group) for group in accumulate([[m] for m in METHODS]) if len(group) > 1],
+    (names.TMS,),
+    (names.FLOWSPEC,),
+    (names.BLACKHOLE,),
+    (names.TMS, names.FLOWSPEC),
+    (names.TMS, names.FLOWSPEC, names.BLACKHOLE),
 )
 # Measures of a mitigation that are added up per alert, in pairs as reported.
 MEASURES = (
@@ -34,9 +36,6 @@ TOTALS = {
     for measure in pair
 }
 
-# Names of mitigation methods fit into the bits of a long; more need a set.
-MAX_FLAGGED_NAMES = 63
-
 
 @dataclass(frozen=True)
 class Dimensions:
@@ -46,22 +45,6 @@ class Dimensions:
     alert_types: DataFrame
     subtypes: DataFrame
     managed_objects: DataFrame
-    # Distinct method names in order, when there are few enough to flag.
-    method_names: tuple[str, ...] | None
-
-    @staticmethod
-    def of(importance, alert_types, subtypes, managed_objects) -> Dimensions:
-        """Dimensions from stored tables.
-
-        Reads at most one method name more than can be flagged (there are
-        three unless someone added some).
-        """
-        some = subtypes.select("subtype_txt").distinct().limit(MAX_FLAGGED_NAMES + 1).collect()
-        flagged = tuple(sorted(row[0] for row in some))
-        return Dimensions(
-            importance, alert_types, subtypes, managed_objects,
-            flagged if len(flagged) <= MAX_FLAGGED_NAMES else None,
-        )
 
     @staticmethod
     def seeded(spark: SparkSession, managed_objects: DataFrame) -> Dimensions:
@@ -71,7 +54,6 @@ class Dimensions:
             seeds.seed_frame(spark, schemas.ALERT_TYPE_TABLE),
             seeds.seed_frame(spark, schemas.SUBTYPE_TABLE),
             managed_objects,
-            tuple(sorted(label for _, label in seeds.MITIGATION_SUBTYPE)),
         )
 
 
@@ -90,13 +72,13 @@ def _part(measure: str, method: str) -> str:
     return f"{measure}_{method}"
 
 
-def mitigation_totals(report: DataFrame, dims: Dimensions) -> DataFrame:
+def mitigation_totals(report: DataFrame) -> DataFrame:
     """What an alert's mitigations add up to: one row per alert that has any.
 
     Aggregating before the join keeps the join free of hot alerts.  Only the
     three single-method sums are aggregated; the joint ones follow by adding.
-    All buffers are numbers, so this stays a hash aggregation with partial sums
-    per map task.
+    Names come from the joined rows themselves, as a set that holds no more of
+    them than the lookup table has, so one added later shows up like any other.
     """
 
     def part(measure: str, method: str) -> Column:
@@ -107,31 +89,15 @@ def mitigation_totals(report: DataFrame, dims: Dimensions) -> DataFrame:
         return F.sum(F.when(F.col("subtype") == method, value)).alias(_part(measure, method))
 
     parts = [part(m, method) for pair in MEASURES for m in pair for method in METHODS]
-    if dims.method_names is None:
-        types = F.array_sort(F.collect_set("subtype_txt"))
-    else:
-        position = F.array_position(_name_list(dims), F.col("subtype_txt")).cast("int")
-        flag = F.call_function("shiftleft", F.lit(1).cast("bigint"), position - 1)
-        types = F.bit_or(flag)
+    types = F.array_sort(F.collect_set("subtype_txt"))
     return report.groupBy("alert_id").agg(
         types.alias("_types"), F.bool_or("is_automitigation").alias("_auto"), *parts
     )
 
 
-def _name_list(dims: Dimensions) -> Column:
-    return F.array(*[F.lit(name) for name in dims.method_names])
-
-
-def mitigation_types(dims: Dimensions) -> Column:
+def mitigation_types() -> Column:
     """Sorted names of the methods used on an alert, or the label for none."""
-    found = F.col("_types")
-    if dims.method_names is not None:
-        kept = [
-            F.when(found.bitwiseAND(F.lit(1 << bit).cast("bigint")) != 0, F.lit(name))
-            for bit, name in enumerate(dims.method_names)
-        ]
-        found = F.when(found.isNotNull(), F.array_compact(F.array(*kept)))
-    return F.coalesce(found, F.array(F.lit(names.NO_MITIGATION)))
+    return F.coalesce(F.col("_types"), F.array(F.lit(names.NO_MITIGATION)))
 
 
 def drop_totals() -> dict[str, Column]:
@@ -157,7 +123,7 @@ def v_alert(alerts: DataFrame, mitigations: DataFrame, dims: Dimensions) -> Data
     owners = dims.managed_objects.select(
         F.col("id").alias("managed_object_id"), "managed_object_name"
     )
-    totals = mitigation_totals(v_alert_mitigations(mitigations, dims), dims)
+    totals = mitigation_totals(v_alert_mitigations(mitigations, dims))
     known = (
         alerts.join(importance, "importance")
         .join(alert_types, "alert_type")
@@ -176,7 +142,7 @@ def v_alert(alerts: DataFrame, mitigations: DataFrame, dims: Dimensions) -> Data
         "ip_version", "misuse_types", "protocols",
         "severity_percent", "severity_threshold", "severity_unit", "managed_object_id",
         F.coalesce("managed_object_name", F.lit(names.UNKNOWN_OBJECT)).alias("managed_object_name"),
-        mitigation_types(dims).alias("mitigation_types"),
+        mitigation_types().alias("mitigation_types"),
         F.coalesce("_auto", F.lit(False)).alias("automitigation"),
         F.col("alert_id").isNotNull().alias("mitigated"),
         *[total.alias(name) for name, total in drop_totals().items()],

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 from functools import cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the plans rely on.  AQE merges small shuffle partitions and splits
 # skewed ones; how many there are to begin with depends on the data, see
@@ -20,20 +20,19 @@ SETTINGS = {
 }
 
 
-# A reducer's share of a shuffle, and bounds for the number of reducers.
+# A reducer's share of a shuffle, and the least number of reducers.
 SHUFFLE_PARTITION_BYTES = 512 * 2**20
-FEWEST_PARTITIONS, MOST_PARTITIONS = 200, 100_000
+FEWEST_PARTITIONS = 200
 
 
 def sized_for(input_bytes: int) -> dict[str, str]:
     """Settings for a job that may shuffle all of its input.
 
     The number of reducers is fixed before AQE can act, and AQE can only lower
-    it, so it is set for the worst case: 100 TB give the upper bound, at about
-    1 GB each.  Files are read and written in pieces that fit it.
+    it, so it is set for the worst case, half a GB each at any size.  Files are
+    read and written in pieces that fit it.
     """
-    wanted = -(-input_bytes // SHUFFLE_PARTITION_BYTES)
-    partitions = min(max(wanted, FEWEST_PARTITIONS), MOST_PARTITIONS)
+    partitions = max(-(-input_bytes // SHUFFLE_PARTITION_BYTES), FEWEST_PARTITIONS)
     return {
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
@@ -52,6 +51,14 @@ def build_session(
     return builder.getOrCreate()
 
 
+def size_for_inputs(spark: SparkSession, *inputs: DataFrame) -> None:
+    """Size the session for inputs by what the planner knows of their files."""
+    plans = [frame._jdf.queryExecution().optimizedPlan() for frame in inputs]
+    total = sum(int(str(plan.stats().sizeInBytes())) for plan in plans)
+    for name, value in sized_for(total).items():
+        spark.conf.set(name, value)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, as the cluster names it.
 

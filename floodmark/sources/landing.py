@@ -120,7 +120,12 @@ def in_window(alerts: DataFrame, start: datetime | Column) -> DataFrame:
     """Denial-of-service alerts that started after a time, less the late-arrival margin."""
     bound = times.lookback(start if isinstance(start, Column) else times.ntz(start))
     started = times.parse_ntz(F.col("doc.attributes.start_time"))
-    return alerts.where((F.col("doc.attributes.alert_class") == "dos") & (started > bound))
+    return of_class(alerts).where(started > bound)
+
+
+def of_class(alerts: DataFrame) -> DataFrame:
+    """Denial-of-service alerts only, as all loads of alert pages take them."""
+    return alerts.where(F.col("doc.attributes.alert_class") == "dos")
 
 
 def page_completeness(pages: DataFrame) -> DataFrame:

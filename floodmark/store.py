@@ -48,8 +48,11 @@ class Store:
     def create(self) -> None:
         """Make all tables anew with their seed rows; whatever they held is gone.
 
-        The state row is written last: it tells that the rest is complete.
+        The state is withdrawn first and its row written last: it tells that the
+        rest is complete, so a reset that breaks off leaves no store.
         """
+        nothing = self.spark.createDataFrame([], schemas.STATE_TABLE.schema)
+        self._write_state(nothing, 0, "overwrite")
         for table in (self.alert, self.alert_mitigations):
             table.create()
         self.managed_object.create(seeds.seed_frame(self.spark, schemas.MANAGED_OBJECT_TABLE))
@@ -109,7 +112,7 @@ class Store:
     # Views.
 
     def dimensions(self) -> views.Dimensions:
-        return views.Dimensions.of(
+        return views.Dimensions(
             self.table(schemas.IMPORTANCE_TABLE),
             self.table(schemas.ALERT_TYPE_TABLE),
             self.table(schemas.SUBTYPE_TABLE),

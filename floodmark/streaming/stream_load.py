@@ -13,6 +13,7 @@ from floodmark.plans.loads import load_alerts
 from floodmark.sources.landing import (
     Landing,
     accepted,
+    of_class,
     page_elements,
     single_elements,
     with_batch_time,
@@ -35,7 +36,7 @@ def stream_alerts(
     clock: Callable[[], datetime] = utc_now,
     files_per_batch: int | None = None,
 ) -> StreamingQuery:
-    """Upsert every alert document landed since the last run, then stop.
+    """Upsert every denial-of-service alert landed since the last run, then stop.
 
     The detail and rate documents of a batch must be landed before its alert
     pages.  Replaying a micro-batch after a failure is safe, as upserts are
@@ -64,5 +65,6 @@ def _apply(batch: DataFrame, store: Store, landing: Landing, kind: str, now: dat
         return
     # Detail and rate documents are only looked for from the oldest batch date on.
     since = datetime.combine(oldest.date(), time.min)
-    load_alerts(store, landing, _ELEMENTS[kind](documents), now, since)
+    alerts = of_class(_ELEMENTS[kind](documents))
+    load_alerts(store, landing, alerts, now, since)
     store.set_mark(ALERT_MARK, now)

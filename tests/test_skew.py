@@ -53,7 +53,7 @@ def test_totals_are_added_up_before_the_shuffle(spark):
         F.lit(2).cast("bigint").alias("r_drop_bytes"), F.lit(1.0).alias("r_drop_packets"),
     )
     dims = views.Dimensions.seeded(spark, seeds.seed_frame(spark, schemas.MANAGED_OBJECT_TABLE))
-    totals = views.mitigation_totals(mitigations, dims)
+    totals = views.mitigation_totals(mitigations)
     assert totals.where("alert_id = 0").first()["r_drop_bytes_tms"] == 2 * ROWS // 3
     assert shuffled_rows(totals) <= ROWS * 2 // 3 + 8
 

@@ -1,6 +1,7 @@
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import by_id
 from floodmark import schemas, seeds, store as stores
@@ -67,3 +68,25 @@ def test_registered_views_answer_sql(spark, store):
     assert row["id"] == 1
     names = by_id(spark.sql("select * from mapper_managed_object"))
     assert names[10]["managed_object_name"] == "Dark IP"
+
+
+def test_a_reset_that_breaks_off_leaves_no_store(spark, store, monkeypatch):
+    store.create()
+    assert store.exists()
+    monkeypatch.setattr(type(store.managed_object), "create", lambda *_: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        store.create()
+    assert not store.exists()
+
+
+def test_a_reset_drops_rows_also_where_single_partitions_are_replaced(spark, store):
+    store.create()
+    held = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        rows = spark.createDataFrame([(500, "x", datetime(2024, 1, 1))], schemas.MANAGED_OBJECT)
+        store.managed_object.upsert(rows.withColumn("seq", F.lit(1)), ["seq"])
+        store.create()
+        assert store.managed_object.read().where("id = 500").isEmpty()
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", held)

@@ -52,3 +52,10 @@ def test_stream_of_single_replies(store, landing, tmp_path):
         store, landing, str(tmp_path / "checkpoint"), kind="alerts_by_id", clock=lambda: NOW
     ).awaitTermination()
     assert set(by_id(store.alert.read())) == {5}
+
+
+def test_stream_leaves_other_classes_to_nobody(store, landing, tmp_path):
+    store.create()
+    put(landing, "alerts", {"batch_at": NOW.isoformat(), "data": [alert(1), alert(2, alert_class="bgp")]})
+    stream_alerts(store, landing, str(tmp_path / "checkpoint"), clock=lambda: NOW).awaitTermination()
+    assert set(by_id(store.alert.read())) == {1}
