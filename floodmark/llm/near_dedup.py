@@ -10,10 +10,13 @@
 4. Survivors are verified on the full sets, in whole numbers.
 
 A bucket's members are not paired with each other.  In the first round each meets
-the least member only, which settles groups of copies.  Where a bucket still
-spans several components, its next two, four, ... members are the pivots of the
+one pivot only, the member with the most company in all of its buckets, as the
+original of a group of copies has; that settles most groups.  Where a bucket still
+spans several components, its next 8, 64, ... members are the pivots of the
 following rounds, and only members of other components meet them; the rounds end
 when no bucket is open, so no pair that matters is left out, at any bucket size.
+Pairs meet only if the parities of their hashed shingles in 1,024 bits allow the
+bound: bits that differ are shingles not shared, so nothing that could pass is cut.
 
 Pivots meet their members in sort-merge joins, which split a hot pivot's rows.
 Signatures, sets and labels are written tables.
@@ -50,6 +53,7 @@ BOUND = 0.75
 BANDS, ROWS = 32, 4
 BATCH = 32
 MISS = 1e-6
+PARITY_LONGS = 16
 
 _SEEDS = np.random.default_rng(11)
 _ODD = _SEEDS.integers(1, 2**63, 64).astype(U64) * U64(2) + U64(1)
@@ -99,23 +103,34 @@ def binaries(rows: list[bytes]) -> pa.Array:
     return pa.array(rows, pa.binary())
 
 
+def parities_of(sets: list[np.ndarray]) -> np.ndarray:
+    """For each set the parity of its shingles in each of 1,024 classes, as 16 longs."""
+    bits = 64 * PARITY_LONGS
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    place = owner * bits + (np.concatenate(sets) % U64(bits)).astype(np.int64)
+    odd = np.bincount(place, minlength=len(sets) * bits) % 2
+    return np.packbits(odd.astype(np.uint8)).view(np.int64).reshape(len(sets), PARITY_LONGS)
+
+
 def signatures(texts: DataFrame) -> DataFrame:
-    """Of each row the number of its shingles, two digests of the set, the signature."""
+    """Of each row the number of its shingles, two digests and the parities of the set, the signature."""
 
     def sign(part):
         sets = shingle_sets(part.column("text"))
         counts = np.array([len(s) for s in sets], np.int64)
         some = [s for s in sets if len(s)]
         signs = iter([row.tobytes() for row in signatures_of(some)] if some else [])
+        parity = iter(parities_of(some).tolist() if some else [])
         a = np.array([s.sum(dtype=U64) for s in sets], U64)
         b = np.array([mixed(s).sum(dtype=U64) for s in sets], U64)
         return pa.RecordBatch.from_arrays(
             [part.column("doc_id"), pa.array(counts), pa.array(a.view(np.int64)), pa.array(b.view(np.int64)),
+             pa.array([next(parity) if n else None for n in counts], pa.list_(pa.int64())),
              binaries([next(signs) if n else None for n in counts])],
-            ["doc_id", "n_shingles", "set_a", "set_b", "signature"],
+            ["doc_id", "n_shingles", "set_a", "set_b", "parity", "signature"],
         )
 
-    return texts.mapInArrow(by_slices(sign), f"{_NODE}, signature binary")
+    return texts.mapInArrow(by_slices(sign), f"{_NODE}, parity array<long>, signature binary")
 
 
 def full_sets(texts: DataFrame) -> DataFrame:
@@ -232,7 +247,11 @@ def near_duplicates(
     some = signed.filter("doc_id is not null and n_shingles > 0")
     # Equal sets have equal signatures, so any of them will do.
     nodes = written(
-        some.groupBy(*digest).agg(F.min("doc_id").alias("node"), F.first("signature").alias("signature")),
+        some.groupBy(*digest).agg(
+            F.min("doc_id").alias("node"),
+            F.first("parity").alias("parity"),
+            F.first("signature").alias("signature"),
+        ),
         "nodes",
     )
     members = some.select("doc_id", *digest).join(nodes.select("node", *digest), digest)
@@ -246,8 +265,13 @@ def near_duplicates(
     full = keys.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"))
     full = full.filter("low < high").select("key")
     buckets = written(keys.join(full, "key").distinct(), "buckets")
-    busy = buckets.select("node").distinct()
+    # Company in all buckets; the pivots of a bucket are those of its members with most.
+    sizes = buckets.groupBy("key").agg((F.count("*") - 1).alias("others"))
+    company = buckets.join(sizes, "key").groupBy("node").agg(F.sum("others").alias("company"))
+    company = written(company, "company")
     signs = nodes.select("node", "signature")
+    known = nodes.select("node", F.col("n_shingles").alias("n"), "parity").join(company, "node")
+    busy = company.select("node")
     shingles = None
     labels = written(components(same), "labels")
     pivots_until = 0
@@ -255,22 +279,31 @@ def near_duplicates(
         label = F.coalesce("component", "node").alias("label")
         at = buckets.join(labels, "node", "left").select("key", "node", label)
         open_ = at.groupBy("key").agg(
-            F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("n")
+            F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("many")
         )
-        open_ = open_.filter(f"low < high and n > {pivots_until}").select("key")
-        at = written(at.join(open_, "key"), "open")
+        open_ = open_.filter(f"low < high and many > {pivots_until}").select("key")
+        at = written(at.join(open_, "key").join(known, "node"), "open")
         if at.isEmpty():
             break
-        begin, pivots_until = pivots_until, 2 * pivots_until + 1
-        rank = F.row_number().over(Window.partitionBy("key").orderBy("node"))
+        begin, pivots_until = pivots_until, 8 * pivots_until + 7 if pivots_until else 1
+        rank = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("company"), "node"))
         pivots = at.withColumn("rank", rank).filter(F.col("rank") <= pivots_until)
         pivots = pivots.filter(F.col("rank") > begin).select(
-            "key", F.col("node").alias("a"), F.col("label").alias("label_a")
+            "key", *[F.col(c).alias(f"{c}_a") for c in ("node", "label", "company", "n", "parity")]
+        )
+        later = "company < company_a or (company = company_a and node > node_a)"
+        differ = sum(
+            (F.bit_count(F.col("parity")[k].bitwiseXOR(F.col("parity_a")[k])) for k in range(PARITY_LONGS)),
+            F.lit(0),
         )
+        both = F.col("n") + F.col("n_a")
+        possible = (both - differ) * 100 >= (both + differ) * percent
         pairs = (
             at.join(pivots, "key")
-            .filter("a < node and label <> label_a")
-            .select("a", F.col("node").alias("b"))
+            .filter("label <> label_a")
+            .filter(later)
+            .filter(possible)
+            .select(F.col("node_a").alias("a"), F.col("node").alias("b"))
             .distinct()
         )
         pairs = likely(_with_both(pairs, signs, "signature", ("sign_a", "sign_b")), percent / 100, miss)
