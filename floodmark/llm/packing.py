@@ -1,8 +1,9 @@
 """Best-fit packing of documents into sequences of tokens, by sums of squares.
 
 A document is placed where the squared counts of open sequences per residual gap
-add up to the least afterwards, in an open sequence or a new one.  That keeps gaps
-of all sizes about equally frequent, so that something fits into each.
+add up to the least afterwards.  That keeps gaps of all sizes about equally
+frequent, so that something fits into each.  As all lengths of a group are known,
+long ones go first, and a new sequence is begun only where no open one has room.
 
 Documents are dealt at random into groups of a fixed mean size, each packed by
 one task with counts for 1024 gaps; a group leaves a few sequences unfilled,
@@ -108,8 +109,9 @@ def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.n
 
     With N(g) open sequences of gap g, an item of size s that goes into a gap g
     changes the sum by 2 (N(g-s) - N(g) + 1), or by 1 - 2 N(g) where it fits
-    exactly; a new sequence adds 2 N(capacity-s) + 1.  Ties go to the smallest gap.
+    exactly.  Ties go to the smallest gap.
     """
+    none = 2 * capacity * len(lengths)
     counts = np.zeros(capacity + 1, np.int64)
     open_: list[list[int]] = [[] for _ in range(capacity + 1)]
     sequence = np.empty(len(lengths), np.int64)
@@ -120,9 +122,9 @@ def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.n
         if s < capacity:
             change = 2 * (counts[: capacity - s] - counts[s:capacity] + 1)
             change[0] -= 2 * counts[0] + 1  # counts[0] is no gap
-            change[counts[s:capacity] == 0] = 2 * capacity * len(lengths)
+            change[counts[s:capacity] == 0] = none
             best = int(change.argmin())
-            if change[best] <= 2 * counts[capacity - s] + 1:
+            if change[best] < none:
                 gap = s + best
         if gap == capacity:
             made, number = made + 1, made
