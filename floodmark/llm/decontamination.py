@@ -3,8 +3,9 @@
 1. Words are runs of letters and digits, A-Z lower-cased.  Of every three-word
    sequence of a benchmark item the number of documents that hold it is counted
    over the whole corpus.
-2. The rarer half of an item's sequences are its seeds.  Rarity is judged within
-   the item, so one that leaked into very many documents keeps its seeds.
+2. An item's seeds are its sequences found in at most ``SPREAD`` times as many
+   documents as its middle one (and a few).  Rarity is judged within the item, so
+   one that leaked into very many documents keeps its seeds, and stock phrases go.
 3. Where a text holds a seed, the item is laid beside it, and overlapping layings
    become one window of the text.  Smith-Waterman alignment of the words (2 for a
    match, -1 for a mismatch or a gap) finds the best local match in each window.
@@ -32,6 +33,7 @@ from pyspark.sql import functions as F
 from floodmark.llm.common import MARKS, U64, by_slices, bytes_of, mixed, read, texts_of, words_of
 
 SEED_WORDS = 3
+SPREAD = 4
 THRESHOLD = 0.5
 BLOCK_BYTES = 8 << 20
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -68,13 +70,13 @@ class Items:
         }
 
     def plant(self, documents: dict[int, int]) -> None:
-        """Choose the rarer half of each item's sequences, those of equal rarity together."""
+        """Choose each item's seeds by the numbers of documents that hold its sequences."""
         places = defaultdict(list)
         for item, grams in enumerate(self.grams):
             if not len(grams):
                 continue
             often = np.array([documents.get(g, 0) for g in grams.tolist()])
-            bound = np.sort(often)[(len(often) - 1) // 2]
+            bound = SPREAD * (np.sort(often)[(len(often) - 1) // 2] + 1)
             for place in np.flatnonzero(often <= bound).tolist():
                 places[int(grams[place])].append((item, place))
         self.places = dict(places)
