@@ -159,8 +159,11 @@ class Counter:
 
     def learn(self, new: list[str]) -> list[int]:
         """The numbers of tokens of texts, each by itself."""
-        # Texts without line ends are split one a line: a line end is then a pre-token of its own.
-        plain = [t and "\n" not in t and t[-1] == t[-1].strip() for t in new]
+        # Texts are split one a line where a line end between them is a pre-token of its own:
+        # none within, no white space before it, and no more than one behind it.
+        plain = [
+            bool(t) and "\n" not in t and len(t.lstrip()) >= len(t) - 1 and t.rstrip() == t for t in new
+        ]
         lines = [t for t, one in zip(new, plain) if one]
         joined = "\n".join(lines)
         if self.special.search(joined):
