@@ -140,7 +140,14 @@ def remove_repeated_lines(
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the lines that an earlier one or an earlier place holds."""
-    return remove_repeated_lines(read(spark, sf_dir, "documents"))
+    cut = remove_repeated_lines(read(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "text", *[_listed(c) for c in ("kept", "removed")])
+
+
+def _listed(spans: str) -> Column:
+    """Stretches as text: begin-end,begin-end."""
+    each = F.transform(spans, lambda s: F.concat_ws("-", s["begin"], s["end"]))
+    return F.array_join(each, ",").alias(spans)
 
 
 # The first of all equal normalised lines stays; offsets are counted in characters.
@@ -160,7 +167,7 @@ with lines as (
 )
 select doc_id,
     coalesce(string_agg(line, chr(10) order by n) filter (not gone), '') as text,
-    coalesce(list({'begin': begin_at::int, 'end': (begin_at + length(line))::int} order by n) filter (not gone), []) as kept,
-    coalesce(list({'begin': begin_at::int, 'end': (begin_at + length(line))::int} order by n) filter (gone), []) as removed
+    coalesce(string_agg(begin_at::int || '-' || (begin_at + length(line))::int, ',' order by n) filter (not gone), '') as kept,
+    coalesce(string_agg(begin_at::int || '-' || (begin_at + length(line))::int, ',' order by n) filter (gone), '') as removed
 from ranked group by doc_id
 """
