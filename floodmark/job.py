@@ -36,6 +36,10 @@ def arguments(words: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument(
         "--files-per-batch", type=int, help="with --stream: files of alert pages per micro-batch"
     )
+    parser.add_argument(
+        "--accept-gaps", action="store_true",
+        help="load batches with missing pages or details instead of waiting for them",
+    )
     parser.add_argument(
         "--stream", metavar="CHECKPOINT", help="load new alert pages as a stream instead"
     )
@@ -50,7 +54,9 @@ def main(words: list[str] | None = None) -> None:
         size_for_inputs(spark, *(landing.documents(kind) for kind in DOCUMENTS))
     now = utc_now()
     if args.stream is None:
-        loads.run_cycle(store, landing, now, args.initial_days, args.max_minutes)
+        loads.run_cycle(
+            store, landing, now, args.initial_days, args.max_minutes, not args.accept_gaps
+        )
         return
     if not store.exists():
         store.create()

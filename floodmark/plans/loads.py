@@ -14,6 +14,7 @@ from floodmark.sources.landing import (
     ARRIVAL,
     Landing,
     in_window,
+    page_completeness,
     page_elements,
     single_elements,
 )
@@ -27,12 +28,22 @@ MITIGATION_ARRIVAL = [*ARRIVAL, "list_pos"]
 
 
 def initial_load(
-    store: Store, landing: Landing, now: datetime, days: int = INITIAL_DAYS
-) -> None:
-    """Load the alerts of the last days; the mark is the time before reading."""
+    store: Store,
+    landing: Landing,
+    now: datetime,
+    days: int = INITIAL_DAYS,
+    wait: bool = True,
+) -> bool:
+    """Load the alerts of the last days; the mark is the time before reading.
+
+    Batches with gaps wait (see ``load_alerts``).  The mark moves only over
+    complete input; the result says whether it did.
+    """
     alerts = in_window(collections(landing), now - timedelta(days=days))
-    load_alerts(store, landing, alerts, now)
-    store.set_mark(ALERT_MARK, now)
+    complete = load_alerts(store, landing, alerts, now, wait=wait)
+    if complete:
+        store.set_mark(ALERT_MARK, now)
+    return complete
 
 
 def incremental_load(
@@ -41,9 +52,12 @@ def incremental_load(
     now: datetime,
     max_minutes: int | None = None,
     and_ongoing: bool = False,
-) -> None:
+    wait: bool = True,
+) -> bool:
     """Load the alerts that started since the mark.
 
+    While a batch has gaps the mark stays, so that the next load reads it again.
+
     ``max_minutes`` clamps the window as a periodic job would; alerts older
     than that are then left out for good, so it is off unless asked for.
     ``and_ongoing`` re-reads open alerts in the same job, so that of several
@@ -58,8 +72,10 @@ def incremental_load(
             alerts.where("doc.attributes.ongoing").select(F.col("doc.id").cast("int").alias("id"))
         )
         alerts = alerts.unionByName(with_ids(replies, open_ids))
-    load_alerts(store, landing, alerts, now, since)
-    store.set_mark(ALERT_MARK, now)
+    complete = load_alerts(store, landing, alerts, now, since, wait)
+    if complete:
+        store.set_mark(ALERT_MARK, now)
+    return complete
 
 
 def window_start(mark: datetime, now: datetime, max_minutes: int | None) -> datetime:
@@ -98,11 +114,20 @@ def with_ids(documents: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def refresh_managed_objects(
-    store: Store, landing: Landing, now: datetime, since: datetime | None = None
-) -> None:
-    objects = page_elements(landing.accepted("managed_objects", since))
-    store.managed_object.upsert(flatten.flatten_managed_objects(objects, now), ARRIVAL)
-    store.set_mark(MANAGED_OBJECT_MARK, now)
+    store: Store,
+    landing: Landing,
+    now: datetime,
+    since: datetime | None = None,
+    wait: bool = True,
+) -> bool:
+    """Upsert all landed managed objects; the mark stays while pages are missing."""
+    pages = landing.accepted("managed_objects", since)
+    objects = flatten.flatten_managed_objects(page_elements(pages), now)
+    store.managed_object.upsert(objects, ARRIVAL)
+    complete = not wait or missing_pages(pages).isEmpty()
+    if complete:
+        store.set_mark(MANAGED_OBJECT_MARK, now)
+    return complete
 
 
 def run_cycle(
@@ -111,17 +136,18 @@ def run_cycle(
     now: datetime,
     days: int = INITIAL_DAYS,
     max_minutes: int | None = None,
+    wait: bool = True,
 ) -> None:
     """One round of loading; how often it runs is up to the caller's scheduler."""
     if not store.exists():
         store.create()
     if store.needs_initial_load():
-        initial_load(store, landing, now, days)
-        refresh_managed_objects(store, landing, now)
+        initial_load(store, landing, now, days, wait)
+        refresh_managed_objects(store, landing, now, wait=wait)
     else:
         since = batches_since(store.mark(ALERT_MARK))
-        refresh_managed_objects(store, landing, now, since)
-        incremental_load(store, landing, now, max_minutes, and_ongoing=True)
+        refresh_managed_objects(store, landing, now, since, wait)
+        incremental_load(store, landing, now, max_minutes, and_ongoing=True, wait=wait)
 
 
 def collections(landing: Landing, since: datetime | None = None) -> DataFrame:
@@ -135,8 +161,12 @@ def load_alerts(
     alerts: DataFrame,
     now: datetime,
     since: datetime | None = None,
-) -> None:
-    """Upsert alerts and the mitigations they list.
+    wait: bool = False,
+) -> bool:
+    """Upsert alerts and the mitigations they list; whether nothing had to wait.
+
+    With ``wait``, batches with gaps (see ``gaps``) are left out until all of
+    them has landed; without it, what is there is loaded.
 
     Alerts go first and the caller moves the mark last: a load that breaks off
     is simply repeated.  Alert documents are parsed once and written down, as
@@ -149,9 +179,40 @@ def load_alerts(
     details = written(
         flatten.latest_details(landing.accepted("mitigations", since)), f"{staging}/details"
     )
+    complete = True
+    if wait:
+        found = gaps(landing.accepted("alerts", since), alerts, details)
+        waiting = written(found.select("batch_at").distinct(), f"{staging}/waiting")
+        complete = waiting.isEmpty()
+        if not complete:
+            alerts = alerts.join(waiting, "batch_at", "left_anti")
     store.alert.upsert(flatten.flatten_alerts(alerts, now), ARRIVAL)
     rows = mitigation_rows(alerts, details, landed_rates(landing, since), now)
     store.alert_mitigations.upsert(rows, MITIGATION_ARRIVAL)
+    return complete
+
+
+def gaps(pages: DataFrame, alerts: DataFrame, details: DataFrame) -> DataFrame:
+    """What batches lack: batch_at, missing (page or detail) and how many.
+
+    A batch is complete when all announced pages are there and every mitigation
+    listed in the alerts at hand has its detail document.
+    """
+    pairs = flatten.mitigation_pairs(alerts)
+    found = details.select("batch_at", F.col("mitigation_id").alias("details_of"))
+    without = pairs.join(found, ["batch_at", "details_of"], "left_anti")
+    number = F.count(F.lit(1)).alias("number")
+    missing = without.groupBy("batch_at").agg(number)
+    return missing_pages(pages).unionByName(
+        missing.select("batch_at", F.lit("detail").alias("missing"), "number")
+    )
+
+
+def missing_pages(pages: DataFrame) -> DataFrame:
+    """Batches with fewer pages than announced."""
+    short = page_completeness(pages).where("not complete")
+    number = (F.col("pages_announced") - F.col("pages_seen")).cast("bigint").alias("number")
+    return short.select("batch_at", F.lit("page").alias("missing"), number)
 
 
 def written(rows: DataFrame, path: str) -> DataFrame:

@@ -580,6 +580,22 @@ def load_stats(spark, sf_dir):
     return loads.load_stats(_collections(spark, sf_dir))
 
 
+@query
+def load_gaps(spark, sf_dir):
+    """What the landed batches lack when the details of blackholes are withheld."""
+    landing = _landing(spark, sf_dir)
+    details = flatten.latest_details(landing.accepted("mitigations"))
+    some = details.where(~names.is_method(F.col("mitigation_id"), names.BLACKHOLE))
+    return loads.gaps(landing.accepted("alerts"), loads.collections(landing), some)
+
+
+@query
+def table_faults(spark, sf_dir):
+    """Violations of the mitigation table's constraints among all line items."""
+    rows = roles.line_mitigations(roles.table(spark, sf_dir, "lineitem"))
+    return checks.table_faults(rows, schemas.MITIGATION_TABLE)
+
+
 def _store_with(spark, rows: DataFrame, arrival: list[str]) -> Store:
     store = Store(spark, f"{documents.new_folder(spark)}/store")
     store.create()

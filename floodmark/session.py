@@ -29,7 +29,7 @@ def sized_for(input_bytes: int) -> dict[str, str]:
     """Settings for a job that may shuffle all of its input.
 
     The number of reducers is fixed before AQE can act, and AQE can only lower
-    it, so it is set for the worst case, half a GB each at any size.  Files are
+    it, so it is set for the worst case, half a GB each.  Files are
     read and written in pieces that fit it.
     """
     partitions = max(-(-input_bytes // SHUFFLE_PARTITION_BYTES), FEWEST_PARTITIONS)
@@ -53,8 +53,13 @@ def build_session(
 
 def size_for_inputs(spark: SparkSession, *inputs: DataFrame) -> None:
     """Size the session for inputs by what the planner knows of their files."""
-    plans = [frame._jdf.queryExecution().optimizedPlan() for frame in inputs]
-    total = sum(int(str(plan.stats().sizeInBytes())) for plan in plans)
+    total = 0
+    for frame in inputs:
+        leaves = frame._jdf.queryExecution().optimizedPlan().collectLeaves()
+        for leaf in (leaves.apply(n) for n in range(leaves.size())):
+            # Other leaves hold no files, and the planner knows nothing of their size.
+            if leaf.nodeName().startswith("LogicalRelation"):
+                total += int(str(leaf.stats().sizeInBytes()))
     for name, value in sized_for(total).items():
         spark.conf.set(name, value)
 

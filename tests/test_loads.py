@@ -138,3 +138,41 @@ def test_job_runs_one_cycle(spark, store, landing):
     assert not loaded.needs_initial_load()
     job.main([*words, "--stream", f"{store.root}/checkpoint"])
     assert set(by_id(loaded.alert.read())) == {1, 2}
+
+
+def test_gaps_wait_and_hold_the_mark(store, landing):
+    store.create()
+    put(landing, "alerts", page(alert(1, ["tms-1"]), alert(2)))
+    assert loads.initial_load(store, landing, NOW) is False
+    assert not by_id(store.alert.read()) and store.needs_initial_load()
+    # Another batch is complete and is loaded at once.
+    put(landing, "alerts", page(alert(3), batch="2024-05-02T06:00:00"), name="complete")
+    assert loads.initial_load(store, landing, NOW) is False
+    assert set(by_id(store.alert.read())) == {3}
+    # The detail lands four hours late.
+    put(landing, "mitigations", detail("tms-1", 1), name="late")
+    assert loads.initial_load(store, landing, NOW + timedelta(hours=4)) is True
+    assert set(by_id(store.alert.read())) == {1, 2, 3}
+    assert store.mark(stores.ALERT_MARK) == NOW + timedelta(hours=4)
+
+
+def test_a_missing_page_holds_a_later_mark_too(store, landing):
+    store.create()
+    store.set_mark(stores.ALERT_MARK, NOW - timedelta(hours=1))
+    first = page(alert(1, start_time=stamp(NOW)), batch=NOW.isoformat())
+    first["meta"] = {"pagination": {"totalPages": 2}}
+    put(landing, "alerts", first)
+    later = NOW + timedelta(hours=5)
+    assert loads.incremental_load(store, landing, later) is False
+    assert store.mark(stores.ALERT_MARK) == NOW - timedelta(hours=1)
+    put(landing, "alerts", {**first, "page": 2, "data": [alert(2, start_time=stamp(NOW))]}, name="second")
+    assert loads.incremental_load(store, landing, later) is True
+    assert set(by_id(store.alert.read())) == {1, 2}
+    assert store.mark(stores.ALERT_MARK) == later
+
+
+def test_gaps_can_be_accepted(store, landing):
+    store.create()
+    put(landing, "alerts", page(alert(1, ["tms-1"])))
+    assert loads.initial_load(store, landing, NOW, wait=False) is True
+    assert set(by_id(store.alert.read())) == {1}

@@ -16,7 +16,8 @@ def test_session_is_sized_by_the_files_it_reads(spark, tmp_path):
     held = {name: spark.conf.get(name, None) for name in sized_for(1)}
     spark.range(1000).write.parquet(f"{tmp_path}/some")
     try:
-        size_for_inputs(spark, spark.read.parquet(f"{tmp_path}/some"))
+        files, none = spark.read.parquet(f"{tmp_path}/some"), spark.createDataFrame([], "a int")
+        size_for_inputs(spark, files, none)
         assert spark.conf.get("spark.sql.shuffle.partitions") == "200"
     finally:
         for name, value in held.items():
