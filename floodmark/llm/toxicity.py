@@ -104,24 +104,33 @@ def token_counts(texts: DataFrame) -> DataFrame:
 
 
 class Model:
-    """Scores of all token classes and the constants of chance segments."""
-
-    def __init__(self, seen: np.ndarray, toxic: np.ndarray, other: np.ndarray):
-        half = 1 << CLASSES_BITS
-        known = toxic.sum() and other.sum()
-        parts, mean = [], 0.0
-        for kind in (slice(0, half), slice(half, None)):
-            share = seen[kind] / max(seen[kind].sum(), 1)
-            of_toxic = toxic[kind] + PRIOR * toxic[kind].sum() * share + 1e-9
-            of_other = other[kind] + PRIOR * other[kind].sum() * share + 1e-9
-            odds = np.log(of_toxic / (of_toxic.sum() - of_toxic + 1e-9))
-            odds -= np.log(of_other / (of_other.sum() - of_other + 1e-9))
-            sure = np.abs(odds) - INTERVAL * np.sqrt(1 / of_toxic + 1 / of_other)
-            score = np.where((sure > 0) & bool(known), np.sign(odds) * sure, 0.0) / 2
-            mean += float(of_other @ score) / of_other.sum()
-            parts.append(score)
-        drift = max(DRIFT, DRIFT + mean) / 2
-        self.score = np.concatenate(parts) - drift
+    """Scores of the telling token classes, by the counts of all, and the constants of chance segments."""
+
+    def __init__(self, counts: DataFrame):
+        kind = F.col("class") >= 1 << CLASSES_BITS
+        totals = [F.sum(c).cast("double").alias(f"all_{c}") for c in ("seen", "toxic", "other")]
+        sums = {row["stem"]: row for row in counts.groupBy(kind.alias("stem")).agg(*totals).collect()}
+        size = 2 << CLASSES_BITS
+        drift, self.score = 0.0, np.zeros(size, np.float32)
+        for stem, row in sums.items():
+            share = F.col("seen") / F.lit(max(row["all_seen"], 1.0))
+            of = {}
+            for name in ("toxic", "other"):
+                mine = F.col(name) + F.lit(PRIOR * row[f"all_{name}"]) * share + F.lit(1e-9)
+                rest = F.lit((1 + PRIOR) * row[f"all_{name}"] + 1e-6) - mine
+                of[name] = (mine, F.log(mine / F.greatest(rest, F.lit(1e-9))))
+            odds = of["toxic"][1] - of["other"][1]
+            sure = F.abs(odds) - INTERVAL * F.sqrt(1 / of["toxic"][0] + 1 / of["other"][0])
+            telling = counts.filter(kind == stem).select(
+                "class", (F.signum(odds) * sure / 2).alias("score"), sure.alias("sure"), of["other"][0].alias("mine")
+            )
+            telling = telling.filter("sure > 0")
+            if row["all_toxic"] and row["all_other"]:
+                # Fewer than the 2^20 classes of the kind.
+                rows = telling.select("class", "score", "mine").toPandas()
+                self.score[rows["class"].to_numpy(np.int64)] = rows["score"].to_numpy(np.float32)
+                drift += float((rows["score"] * rows["mine"]).sum()) / ((1 + PRIOR) * row["all_other"])
+        self.score -= np.float32(max(DRIFT, DRIFT + drift) / 2)
         self.lambda_, self.k = 1.0, 1.0
 
     def calibrate(self, tokens: float, segments: float, total: float) -> None:
@@ -160,7 +169,7 @@ def maximal_segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
 
 def segments(texts: DataFrame, model: Model) -> DataFrame:
     """doc_id, text_hash, n_tokens and all maximal segments (begin and end in bytes of the text)."""
-    shipped = texts.sparkSession.sparkContext.broadcast(model.score.astype(np.float32))
+    shipped = texts.sparkSession.sparkContext.broadcast(model.score)
 
     def scan(part):
         score = shipped.value
@@ -228,13 +237,8 @@ def score_toxicity(
     texts = texts_of(docs, id_col, text_col).withColumn("text_hash", F.xxhash64("text"))
     # At most twice per_class rows of two numbers.
     sample = written(bounded_labels(labels, "toxic", per_class), "labels")
-    counts = token_counts(texts.join(F.broadcast(sample), "doc_id", "left")).toPandas()
-    size = 2 << CLASSES_BITS
-    totals = {}
-    for name in ("seen", "toxic", "other"):
-        totals[name] = np.zeros(size)
-        totals[name][counts["class"].to_numpy(np.int64)] = counts[name].to_numpy(float)
-    model = Model(**totals)
+    counts = token_counts(texts.join(F.broadcast(sample), "doc_id", "left"))
+    model = Model(written(counts, "counts"))
     found = written(segments(texts, model), "segments")
 
     # Chance segments: those of labelled texts that are not toxic.
