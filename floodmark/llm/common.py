@@ -19,6 +19,9 @@ from floodmark.session import shared_folder
 
 # Bytes of text that are worked on at once.
 PIECE_BYTES = 1 << 20
+# Bytes that travel between Spark and a Python worker at once; the session's own
+# bound is meant for short rows, and two tasks hold several such batches each.
+BATCH_BYTES = ("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
 
 U64 = np.uint64
 SPACES = np.zeros(256, bool)
@@ -36,7 +39,11 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def texts_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Ids and texts only, so that other columns cannot clash; a null text is empty."""
+    """Ids and texts only, so that other columns cannot clash; a null text is empty.
+
+    Sets the session to small Arrow batches, as all that follows goes through them.
+    """
+    docs.sparkSession.conf.set(*BATCH_BYTES)
     return docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),

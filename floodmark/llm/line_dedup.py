@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from floodmark.llm.common import U64, by_slices, bytes_of, mixed, read, words_of, written
+from floodmark.llm.common import BATCH_BYTES, U64, by_slices, bytes_of, mixed, read, words_of, written
 
 _UNITS = "doc_id long, text_hash long, line int, digest_a long, digest_b long"
 _SPAN = "array<struct<begin: int, end: int>>"
@@ -108,6 +108,7 @@ def remove_repeated_lines(
 
     The columns ``carry`` come back too, in a struct ``carried``.
     """
+    docs.sparkSession.conf.set(*BATCH_BYTES)
     texts = docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
