@@ -11,10 +11,11 @@
 
 A bucket's members are not paired with each other.  In the first round each meets
 one pivot only, the member with the most company in all of its buckets, as the
-original of a group of copies has; that settles most groups.  Where a bucket still
-spans several components, its next 8, 64, ... members are the pivots of the
-following rounds, and only members of other components meet them; the rounds end
-when no bucket is open, so no pair that matters is left out, at any bucket size.
+original of a group of copies has; that settles most groups.  Pivots have met all
+others and leave.  Where the rest of a bucket still spans several components, its
+next 8, 64, 512, 512, ... members are the pivots of the following rounds, and only
+members of other components meet them; the rounds end when no bucket is open, so
+no pair that matters is left out, at any bucket size.
 Pairs meet only if the parities of their hashed shingles in 1,024 bits allow the
 bound: bits that differ are shingles not shared, so nothing that could pass is cut.
 
@@ -54,6 +55,8 @@ BANDS, ROWS = 32, 4
 BATCH = 32
 MISS = 1e-6
 PARITY_LONGS = 16
+# The most pivots of a bucket in one round.
+PIVOTS = 512
 
 _SEEDS = np.random.default_rng(11)
 _ODD = _SEEDS.integers(1, 2**63, 64).astype(U64) * U64(2) + U64(1)
@@ -274,21 +277,20 @@ def near_duplicates(
     busy = company.select("node")
     shingles = None
     labels = written(components(same), "labels")
-    pivots_until = 0
+    number = 1
     while True:
         label = F.coalesce("component", "node").alias("label")
         at = buckets.join(labels, "node", "left").select("key", "node", label)
         open_ = at.groupBy("key").agg(
-            F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("many")
+            F.min("label").alias("low"), F.max("label").alias("high")
         )
-        open_ = open_.filter(f"low < high and many > {pivots_until}").select("key")
+        open_ = open_.filter("low < high").select("key")
         at = written(at.join(open_, "key").join(known, "node"), "open")
         if at.isEmpty():
             break
-        begin, pivots_until = pivots_until, 8 * pivots_until + 7 if pivots_until else 1
-        rank = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("company"), "node"))
-        pivots = at.withColumn("rank", rank).filter(F.col("rank") <= pivots_until)
-        pivots = pivots.filter(F.col("rank") > begin).select(
+        # A rank up to a small number is cut to it in the map tasks already.
+        rank = F.dense_rank().over(Window.partitionBy("key").orderBy(F.desc("company"), "node"))
+        pivots = at.withColumn("rank", rank).filter(F.col("rank") <= number).select(
             "key", *[F.col(c).alias(f"{c}_a") for c in ("node", "label", "company", "n", "parity")]
         )
         later = "company < company_a or (company = company_a and node > node_a)"
@@ -306,12 +308,18 @@ def near_duplicates(
             .select(F.col("node_a").alias("a"), F.col("node").alias("b"))
             .distinct()
         )
+        met = pivots.select("key", F.col("node_a").alias("node"))
+        buckets = at.join(met, ["key", "node"], "left_anti").select("key", "node").distinct()
+        number = min(8 * number, PIVOTS)
         pairs = likely(_with_both(pairs, signs, "signature", ("sign_a", "sign_b")), percent / 100, miss)
         pairs = written(pairs, "likely")
         if shingles is None:
             of = texts.withColumnRenamed("doc_id", "node").join(busy, "node")
             shingles = written(full_sets(of), "sets")
         linked = verified(_with_both(pairs, shingles, "shingles", ("set_a", "set_b")), percent)
+        linked = written(linked, "linked")
+        if linked.isEmpty():
+            continue
         old = labels.select(F.col("component").alias("a"), F.col("node").alias("b"))
         labels = written(components(linked.union(old)), "labels")
 
