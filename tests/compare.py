@@ -94,7 +94,8 @@ def main(sf_dir, *words):
     )
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)
-    queries, oracles = entry.queries(), entry.oracle_sql()
+    oracles = entry.oracle_sql()
+    queries = {name: query for name, query in entry.queries().items() if name in oracles}
     print("queries", len(queries), "without SQL", sorted(set(queries) - set(oracles)),
           "without query", sorted(set(oracles) - set(queries)))
     for name in only or queries:
