@@ -1,14 +1,13 @@
-"""Benchmark passages in training texts, by rare n-gram seeds and local alignment.
-
-1. Words are runs of letters and digits, A-Z lower-cased.  Of every three-word
-   sequence of a benchmark item the number of documents that hold it is counted
-   over the whole corpus.
-2. An item's seeds are its sequences found in at most ``SPREAD`` times as many
-   documents as its middle one (and a few).  Rarity is judged within the item, so
-   one that leaked into very many documents keeps its seeds, and stock phrases go.
-3. Where a text holds a seed, the item is laid beside it, and overlapping layings
-   become one window of the text.  Smith-Waterman alignment of the words (2 for a
-   match, -1 for a mismatch or a gap) finds the best local match in each window.
+"""Benchmark passages in training texts, by n-gram seeds and local alignment.
+
+1. Words are runs of letters and digits, A-Z lower-cased.  Every three-word
+   sequence of a benchmark item is a seed, however many documents hold it.
+2. Where a text holds a seed, the item is laid beside it, and overlapping layings
+   become one window of the text.
+3. Smith-Waterman alignment of the words (2 for a match, -1 for a mismatch or a
+   gap) finds the best local match in each window.  A window is passed over only
+   where no alignment can reach the threshold: within any stretch of it, 2 for each
+   word of the item less 1 for each other word is no less than a score there.
 4. A score of 1 is the whole item, word for word.  Pairs at or above ``threshold``
    are contamination.
 
@@ -33,12 +32,13 @@ from pyspark.sql import functions as F
 from floodmark.llm.common import MARKS, U64, by_slices, bytes_of, mixed, read, texts_of, words_of
 
 SEED_WORDS = 3
-SPREAD = 4
 THRESHOLD = 0.5
 BLOCK_BYTES = 8 << 20
 MATCH, MISMATCH, GAP = 2, -1, -1
 # Alignments are worked on together while their matrices stay below this many cells.
 CELLS = 1 << 20
+# Layings and words of windows looked at together.
+TOGETHER = 1 << 20
 _ODD = np.random.default_rng(13).integers(1, 2**63, SEED_WORDS).astype(U64) * U64(2) + U64(1)
 
 _MATCHES = (
@@ -69,20 +69,52 @@ class Items:
             for size in range(1, SEED_WORDS + 1)
         }
 
-    def plant(self, documents: dict[int, int]) -> None:
-        """Choose each item's seeds by the numbers of documents that hold its sequences."""
-        places = defaultdict(list)
-        for item, grams in enumerate(self.grams):
-            if not len(grams):
-                continue
-            often = np.array([documents.get(g, 0) for g in grams.tolist()])
-            bound = SPREAD * (np.sort(often)[(len(often) - 1) // 2] + 1)
-            for place in np.flatnonzero(often <= bound).tolist():
-                places[int(grams[place])].append((item, place))
-        self.places = dict(places)
-        self.known = {
-            size: np.intersect1d(known, np.array(list(places), U64)) for size, known in self.known.items()
-        }
+        n = len(ids)
+        grams = np.concatenate([*self.grams, np.zeros(0, U64)])
+        owner = np.repeat(np.arange(n), [len(g) for g in self.grams])
+        offset = np.concatenate([*(np.arange(len(g)) for g in self.grams), np.zeros(0, np.int64)])
+        self.seeds, number = np.unique(grams, return_inverse=True)
+        order = np.lexsort((offset, owner, number))
+        # Places of each seed, by item, so that any range of items can be looked up.
+        self.owner, self.offset = owner[order], offset[order]
+        self.place_key = number[order] * n + self.owner
+        self.sizes = np.array([len(w) for w in self.words], np.int64)
+        salt = np.repeat(np.arange(n).astype(U64) * _ODD[0], self.sizes)
+        self.owned = np.unique(mixed(np.concatenate([*self.words, np.zeros(0, U64)]) + salt))
+
+    def layings(self, text, place, gram, low: int = 0, high: int | None = None):
+        """Item, text and begin of all layings by the hits, in bounded lots that hold each item whole."""
+        n = len(self.ids)
+        high = n if high is None else high
+        number = np.searchsorted(self.seeds, gram)
+        start = np.searchsorted(self.place_key, number * n + low)
+        many = np.searchsorted(self.place_key, number * n + high) - start
+        total = int(many.sum())
+        if total > TOGETHER and high - low > 1:
+            middle = (low + high) // 2
+            yield from self.layings(text, place, gram, low, middle)
+            yield from self.layings(text, place, gram, middle, high)
+        elif total:
+            hit = np.repeat(np.arange(len(gram)), many)
+            at = np.arange(total) - np.repeat(np.cumsum(many) - many - start, many)
+            yield self.owner[at], text[hit], place[hit] - self.offset[at]
+
+    def reach(self, hashes: np.ndarray, item: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """What no alignment of the item in the words from begin to end can exceed."""
+        width = end - begin
+        best = np.zeros(len(item), np.int64)
+        lots = np.cumsum(width) // TOGETHER
+        for lot in np.split(np.arange(len(item)), np.flatnonzero(np.diff(lots)) + 1):
+            wide = width[lot]
+            first = np.cumsum(wide) - wide
+            word = hashes[np.arange(wide.sum()) - np.repeat(first - begin[lot], wide)]
+            key = mixed(word + np.repeat(item[lot].astype(U64) * _ODD[0], wide))
+            near = np.minimum(np.searchsorted(self.owned, key), len(self.owned) - 1)
+            value = np.where(self.owned[near] == key, MATCH, np.maximum(MISMATCH, GAP))
+            # Best sum of a stretch; every window lies so far below the last that minima do not pass on.
+            total = np.cumsum(value) - np.repeat(np.arange(len(lot)) * (2 * MATCH * len(value) + 1), wide)
+            best[lot] = np.maximum(np.maximum.reduceat(total - np.minimum.accumulate(total - value), first), 0)
+        return best
 
     def hits(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places and hashes of the block's sequences among the words of one or more texts."""
@@ -106,35 +138,6 @@ def _inside(at, found, first) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return text[fits], at[fits] - first[text[fits]], found[fits, 0]
 
 
-def document_counts(texts: DataFrame, items: Items) -> dict[int, int]:
-    """In how many rows each of the block's sequences is."""
-    shipped = texts.sparkSession.sparkContext.broadcast(items)
-
-    def count(batches):
-        block = shipped.value
-        total: dict[int, int] = defaultdict(int)
-
-        def add(part):
-            data, at = bytes_of(part.column("text"))
-            hashes, _, _, first = words_of(data, at, MARKS)
-            text, _, gram = _inside(*block.hits(hashes), first)
-            pairs = np.unique(np.c_[gram, text.astype(U64)], axis=0)
-            for g, n in zip(*(x.tolist() for x in np.unique(pairs[:, 0], return_counts=True))):
-                total[g] += n
-
-        for _ in by_slices(add)(batches):
-            pass
-        grams = np.array(list(total), U64).view(np.int64)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(grams), pa.array(list(total.values()), pa.int64())], ["gram", "n"]
-        )
-
-    parts = texts.mapInArrow(count, "gram long, n long")
-    # At most as many rows as the block has sequences.
-    rows = parts.groupBy("gram").agg(F.sum("n").alias("n")).collect()
-    return {g % 2**64: n for g, n in rows}
-
-
 def align(item: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, ...]:
     """Best score, and begin and end in window and item, of one item in several windows.
 
@@ -175,17 +178,27 @@ def align(item: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, ...]:
     return best, *spans
 
 
-def _windows(hits: np.ndarray, size: int) -> list[tuple[int, int]]:
-    """Stretches of text beside which the item may lie, with a quarter of it to spare."""
+def _windows(items: Items, item, text, begin) -> tuple[np.ndarray, ...]:
+    """Stretches of text beside which the item may lie, with a quarter of it to spare.
+
+    Item, text, begin and end of each, and in how many ways the item is laid beside the text.
+    """
+    order = np.lexsort((begin, text, item))
+    item, text, begin = item[order], text[order], begin[order]
+    other = np.ones(len(item), bool)
+    other[1:] = (item[1:] != item[:-1]) | (text[1:] != text[:-1])
+    new = other.copy()
+    new[1:] |= begin[1:] != begin[:-1]
+    item, text, begin, other = item[new], text[new], begin[new], other[new]
+    pair = np.cumsum(other) - 1
+    seeds = np.bincount(pair)[pair]
+    size = items.sizes[item]
     spare = size // 4 + 2
-    merged: list[list[int]] = []
-    for start in np.unique(hits).tolist():
-        begin, end = start - spare, start + size + spare
-        if merged and begin <= merged[-1][1]:
-            merged[-1][1] = end
-        else:
-            merged.append([begin, end])
-    return [(b, e) for b, e in merged]
+    apart = other
+    apart[1:] |= begin[1:] - begin[:-1] > (size + 2 * spare)[1:]
+    first = np.flatnonzero(apart)
+    last = np.append(first[1:], len(item)) - 1
+    return item[first], text[first], (begin - spare)[first], (begin + size + spare)[last], seeds[first]
 
 
 def matches(texts: DataFrame, items: Items, threshold: float) -> DataFrame:
@@ -196,15 +209,14 @@ def matches(texts: DataFrame, items: Items, threshold: float) -> DataFrame:
         block = shipped.value
         data, at = bytes_of(part.column("text"))
         hashes, starts, ends, first = words_of(data, at, MARKS)
-        layings = defaultdict(set)
-        for text, place, gram in zip(*(x.tolist() for x in _inside(*block.hits(hashes), first))):
-            for item, offset in block.places[gram]:
-                layings[item, text].add(place - offset)
         by_item = defaultdict(list)
-        for (item, text), where in layings.items():
-            b, e = int(first[text]), int(first[text + 1])
-            for begin, end in _windows(np.array(list(where)), len(block.words[item])):
-                by_item[item].append((text, max(b + begin, b), min(b + end, e), len(where)))
+        for laid in block.layings(*_inside(*block.hits(hashes), first)):
+            item, text, begin, end, seeds = _windows(block, *laid)
+            begin = np.maximum(first[text] + begin, first[text])
+            end = np.minimum(first[text] + end, first[text + 1])
+            near = block.reach(hashes, item, begin, end) / (MATCH * block.sizes[item]) >= threshold
+            for n, *window in np.c_[item, text, begin, end, seeds][near].tolist():
+                by_item[n].append(window)
         found: dict[tuple[int, int], tuple] = {}
         for item, windows in by_item.items():
             words = block.words[item]
@@ -262,7 +274,6 @@ def find_contamination(
         rows = mine.orderBy("doc_id", "text").toPandas()
         if len(rows):
             items = Items([None if x != x else int(x) for x in rows["doc_id"]], rows["text"].tolist())
-            items.plant(document_counts(texts, items))
             found = found.union(matches(texts, items, threshold))
     return found
 

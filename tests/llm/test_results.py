@@ -206,6 +206,32 @@ def test_edited_and_repeated_passages_are_found(spark):
         assert text.startswith("item1 " if r["doc_id"] == 100 else "item0 ")
 
 
+@pytest.mark.parametrize("copies", [5, 10, 1000])
+def test_copies_of_an_edited_passage_are_found(spark, copies):
+    words = [f"item{n}" for n in range(40)]
+    edited = [f"other{n}" if n % 5 == 4 else w for n, w in enumerate(words)]
+    docs = [(n, " ".join([f"own{n}", *edited, "end"])) for n in range(copies)]
+    docs += [(-1, " ".join([f"clean{n}" for n in range(90)])), (-2, " ".join(words[:8]))]
+    found = decontamination.find_contamination(
+        spark.createDataFrame(docs, "doc_id long, text string"),
+        spark.createDataFrame([(7, " ".join(words))], "item_id long, text string"),
+    ).collect()
+    assert sorted(r["doc_id"] for r in found) == list(range(copies))
+    assert all(r["score"] == pytest.approx(57 / 80) for r in found)
+
+
+def test_no_alignment_exceeds_its_reach():
+    rng = np.random.default_rng(4)
+    texts = [" ".join(f"w{n}" for n in rng.integers(0, 9, rng.integers(1, 14))) for _ in range(8)]
+    items = decontamination.Items(list(range(8)), texts)
+    hashes = np.concatenate([items.words[n] for n in rng.integers(0, 8, 12)])
+    begin = rng.integers(0, len(hashes) - 1, 60)
+    end = np.minimum(begin + rng.integers(1, 30, 60), len(hashes))
+    item = rng.integers(0, 8, 60)
+    for n, b, e, most in zip(item, begin, end, items.reach(hashes, item, begin, end)):
+        assert plain_alignment(items.words[n].tolist(), hashes[b:e].tolist()) <= most
+
+
 def test_contamination_equals_plain_search(spark, texts):
     items = spark.read.parquet(f"{TINY}/benchmark.parquet").collect()
     word = lambda t: re.findall(r"(?:[a-z0-9]|[^\x00-\x7f])+", re.sub("[A-Z]", lambda m: m[0].lower(), t))
