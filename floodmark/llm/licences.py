@@ -12,6 +12,13 @@ All of it is DataFrame code on built-in functions.
 4. A named family is confirmed where the line holds at least ``share`` of the word
    pairs of one of its notices, counting pairs with a telling word.
 
+5. A notice may be wrapped.  From every line on, as many lines without a blank one
+   between them are joined as any notice can need, comment marks left out.  Where
+   the joined lines hold ``share`` of a notice and none of them does by itself, its
+   family is confirmed for them, at the last line from which most of it is held.  A
+   family whose pairs found are all part of another's is not reported beside it.
+   Of a notice repeated without a blank line between, the last place is reported.
+
 A line without any telling word can neither be named nor confirmed, so those are
 left out before their features are built.  Whole texts of all documents are read.
 
@@ -23,10 +30,10 @@ from __future__ import annotations
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizerModel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from floodmark.llm.common import read
+from floodmark.llm.common import read, written
 
 SAMPLE_DOCS = 400
 FALSE_ALARMS = 0.001
@@ -80,6 +87,10 @@ OTHERS = [
 PLAIN = "a all any are by can for forms has in into is it may no not of or part person possible possession the this to under use v with without you be and at an on as".split()
 
 
+# Comment marks that are words; others are no part of words anyway.
+MARK = r"^\s*(?:dnl|rem|REM)(?=\s|$)"
+
+
 def words(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), "[^a-z0-9+]+"), lambda w: w != "")
 
@@ -125,6 +136,83 @@ def paragraphs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), lines)
 
 
+def wrapped(docs: DataFrame, share: float, id_col: str, text_col: str) -> DataFrame:
+    """Families held by several lines together: doc_id, paragraph, last_paragraph, line, family and similarity."""
+    telling = telling_words()
+    told = F.array(*map(F.lit, telling))
+    wanted = [(f, sorted({p for p in _pairs(t) if _telling(p, set(telling))})) for f, t in NOTICES]
+    notices = F.array(*[F.struct(F.lit(f).alias("family"), F.array(*map(F.lit, w)).alias("wanted")) for f, w in wanted])
+    # Of the lines behind the first, twice the words of the longest notice.
+    most = 2 * max(len(_words(t)) for _, t in NOTICES)
+    # A list of one binds a value, so that it is made once.
+    bound = lambda value, use: F.transform(F.array(value), use)[0]
+
+    def part(line: Column) -> Column:
+        bare = F.regexp_replace(line, MARK, "")
+        return bound(
+            words(bare),
+            lambda w: F.struct(F.trim(bare).alias("bare"), F.size(w).alias("n"), F.arrays_overlap(w, told).alias("told")),
+        )
+
+    def state(lines: Column, n: Column, open_: Column) -> Column:
+        return F.struct(lines.alias("lines"), n.alias("n"), open_.alias("open"))
+
+    def from_line(parts: Column, first: Column, at: Column) -> Column:
+        joined = F.aggregate(
+            F.slice(parts, at + 2, most),
+            state(F.array(first["bare"]), F.lit(0), F.lit(True)),
+            lambda a, x: F.when(
+                a["open"] & (x["n"] > 0) & (a["n"] < most),
+                state(F.concat(a["lines"], F.array(x["bare"])), a["n"] + x["n"], F.lit(True)),
+            ).otherwise(state(a["lines"], a["n"], F.lit(False))),
+            lambda a: a["lines"],
+        )
+        ahead = F.coalesce(F.get(parts, at + 1)["told"], F.lit(False))
+        return F.when((first["n"] > 0) & (first["told"] | ahead), joined)
+
+    def held(text: Column) -> Column:
+        """Notices of which the text holds the share, with the pairs found."""
+        found = bound(
+            pairs(words(text)),
+            lambda mine: F.transform(
+                notices,
+                lambda x: bound(
+                    F.array_intersect(x["wanted"], mine),
+                    lambda both: F.struct((F.size(both) / F.size(x["wanted"])).alias("similarity"), x["family"].alias("family"), both.alias("found")),
+                ),
+            ),
+        )
+        return F.filter(found, lambda x: x["similarity"] >= share)
+
+    parts = F.transform(F.split(F.col(text_col).cast("string"), "\n"), part)
+    joined = bound(parts, lambda all_: F.transform(all_, lambda first, at: from_line(all_, first, at)))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row"), joined.alias("joined"))
+    rows = rows.select("doc_id", "row", F.posexplode("joined").alias("paragraph", "lines")).filter(F.size("lines") > 1)
+    rows = rows.withColumn("line", F.array_join("lines", " ")).withColumn("held", held(F.col("line")))
+    rows = rows.filter(F.size("held") > 0)
+    alone = F.flatten(F.transform("lines", lambda line: F.transform(held(line), lambda x: x["family"])))
+    rows = rows.withColumn("alone", F.array_distinct(alone))
+
+    def part_of_another(x: Column) -> Column:
+        larger = lambda y: (F.size(y["found"]) > F.size(x["found"])) & (y["family"] != x["family"])
+        return F.exists("held", lambda y: larger(y) & (F.size(F.array_except(x["found"], y["found"])) == 0))
+
+    kept = F.filter("held", lambda x: ~F.array_contains("alone", x["family"]) & ~part_of_another(x))
+    rows = written(rows.select("doc_id", "row", "paragraph", F.size("lines").alias("n"), "line", kept.alias("held")), "wrapped")
+    each = rows.select("doc_id", "row", "paragraph", "n", "line", F.explode("held").alias("x"))
+    each = each.groupBy("row", "paragraph", F.col("x.family").alias("family")).agg(
+        F.max("x.similarity").alias("similarity"), *[F.first(c).alias(c) for c in ("doc_id", "n", "line")]
+    )
+    by_place = Window.partitionBy("row", "family").orderBy("paragraph")
+    beside = lambda step: F.coalesce(
+        F.when(F.lag("paragraph", step).over(by_place) == F.col("paragraph") - step, F.lag("similarity", step).over(by_place)), F.lit(0.0)
+    )
+    each = each.withColumn("before", beside(1)).withColumn("behind", beside(-1))
+    each = each.filter((F.col("similarity") > F.col("behind")) & (F.col("similarity") >= F.col("before")))
+    last = (F.col("paragraph") + F.col("n") - 1).alias("last_paragraph")
+    return each.select("doc_id", "paragraph", last, "line", "family", "similarity")
+
+
 def _sample(docs: DataFrame, id_col: str, text_col: str, sample_docs: int) -> DataFrame:
     """Lines of two bounded samples of documents: ``part`` 0 to fit, 1 to calibrate."""
     order = F.xxhash64(F.col(id_col).cast("long"))
@@ -199,7 +287,11 @@ def scan_licences(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """Lines that are named a family: doc_id, paragraph, line, family, probability, similarity, confirmed, version."""
+    """Lines that are named a family, and lines that hold a wrapped notice together.
+
+    doc_id, paragraph, line, family, probability, similarity, confirmed, version, last_paragraph;
+    a single line ends in the paragraph it begins in.
+    """
     spark = docs.sparkSession
     model = Classifier(spark, _sample(docs, id_col, text_col, sample_docs), false_alarms)
     telling = F.array(*map(F.lit, telling_words()))
@@ -210,20 +302,26 @@ def scan_licences(
     logits = model.logits(distinct, ["line"])
     top = F.array_max("logits")
     total = F.aggregate("logits", F.lit(0.0), lambda a, x: a + F.exp(x - top))
-    at = F.array_position("logits", top).cast("int")
-    family = F.element_at(F.array(*map(F.lit, model.classes)), at)
+    classes = F.array(*map(F.lit, model.classes))
+    family = F.element_at(classes, F.array_position("logits", top).cast("int"))
     named = logits.select("line", family.alias("family"), (1 / total).alias("probability"))
     named = named.filter(F.col("family") != UNKNOWN)
     alike = model.similarity(words(F.col("line")), F.col("family"))
+    named = named.withColumn("similarity", alike)
+    single = lines.select("doc_id", "paragraph", F.col("paragraph").alias("last_paragraph"), "line").join(named, "line")
+
+    joined = written(wrapped(docs, share, id_col, text_col), "notices")
+    texts = joined.select("line").distinct().withColumn("words", words(F.col("line")))
+    mine = F.element_at("logits", F.array_position(classes, F.col("family")).cast("int"))
+    several = joined.join(model.logits(texts, ["line"]), "line").withColumn("probability", F.exp(mine - top) / total)
+
     version = F.regexp_extract(F.lower("line"), r"(?:version |v\. ?|v|[a-z0] )([0-9]+(?:\.[0-9]+)*)", 1)
-    named = named.withColumn("similarity", alike).withColumn("confirmed", F.col("similarity") >= share)
-    named = named.withColumn("version", F.nullif(version, F.lit("")))
-    places = lines.select("doc_id", "paragraph", "line")
-    return places.join(named, "line").select(
-        "doc_id", "paragraph", "line", "family", "probability", "similarity", "confirmed", "version"
+    found = single.unionByName(several.drop("logits")).withColumn("confirmed", F.col("similarity") >= share)
+    return found.withColumn("version", F.nullif(version, F.lit(""))).select(
+        "doc_id", "paragraph", "line", "family", "probability", "similarity", "confirmed", "version", "last_paragraph"
     )
 
 
 def op1_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All lines of all documents that are named a licence family."""
+    """All lines of all documents that are named a licence family, wrapped notices included."""
     return scan_licences(read(spark, sf_dir, "documents"))

@@ -329,6 +329,20 @@ def test_licence_lines_are_those_planted(spark, texts):
     assert sorted(found) == sorted(wanted)
 
 
+def test_wrapped_notices_are_confirmed(spark):
+    gpl = "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by"
+    mit = "# Permission is hereby granted, free of charge, to any\n# person obtaining a copy of this software and associated"
+    bsd = " * Redistribution and use in source\n * and binary forms, with or\n * without modification, are permitted provided"
+    prose = "\n".join(f"Some clean line of other words number {n}" for n in range(30))
+    narrow = "\n".join("Licensed under CC BY-NC 4.0.".split())
+    made = [(gpl, "gpl", 0), (f"{prose}\n{mit}\n{prose}", "mit", 30), (f"/*\n *\n{bsd}\n */", "bsd", 2), (narrow, "cc-by-nc", 0)]
+    docs = [(n, text) for n, (text, _, _) in enumerate(made)] + [(None, gpl), (9, prose), (10, gpl.replace("\n", "\n\n"))]
+    found = licences.scan_licences(spark.createDataFrame(docs, "doc_id long, text string")).filter("confirmed").collect()
+    wanted = [(n, family, place) for n, (_, family, place) in enumerate(made)] + [(None, "gpl", 0)]
+    assert sorted(((r["doc_id"], r["family"], r["paragraph"]) for r in found), key=str) == sorted(wanted, key=str)
+    assert all(r["last_paragraph"] > r["paragraph"] for r in found)
+
+
 def test_other_sentences_are_unknown(spark):
     lines = [*licences.OTHERS, "The license to drive was lost.", "Nothing of note here at all."]
     docs = spark.createDataFrame([(n, line) for n, line in enumerate(lines)], "doc_id long, text string")
