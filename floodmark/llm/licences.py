@@ -7,8 +7,11 @@ All of it is DataFrame code on built-in functions.
 2. A multinomial logistic regression with an L1 part, so most weights are zero, is
    fitted to these notices, to a few sentences that only sound like them, and to
    lines of at most ``sample_docs`` documents, chosen by hash, as class ``unknown``.
-3. The unknown class is calibrated on the lines of as many other documents: its
-   bias is raised until no more than ``false_alarms`` of them are named a family.
+   Lines that hold half of a notice, or a pair of two of its telling words, may be
+   notices and are not taken for unknown.
+3. The unknown class is calibrated on the lines of all documents, each distinct line
+   once and the same ones left out: its bias is raised until no more than
+   ``false_alarms`` of them are named a family.
 4. A named family is confirmed where the line holds at least ``share`` of the word
    pairs of one of its notices, counting pairs with a telling word.
 
@@ -214,29 +217,26 @@ def wrapped(docs: DataFrame, share: float, id_col: str, text_col: str) -> DataFr
 
 
 def _sample(docs: DataFrame, id_col: str, text_col: str, sample_docs: int) -> DataFrame:
-    """Lines of two bounded samples of documents: ``part`` 0 to fit, 1 to calibrate."""
+    """Lines of a bounded sample of documents."""
     order = F.xxhash64(F.col(id_col).cast("long"))
-    chosen = docs.select(order.alias("chosen")).distinct().orderBy("chosen").limit(2 * sample_docs)
-    # Twice sample_docs numbers.
+    chosen = docs.select(order.alias("chosen")).distinct().orderBy("chosen").limit(sample_docs)
+    # sample_docs numbers.
     some = docs.join(F.broadcast(chosen), order == F.col("chosen"))
-    part = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(2)).alias("part")
-    return paragraphs(some, id_col, text_col).select(part, "line")
+    return paragraphs(some, id_col, text_col).select("line")
 
 
 class Classifier:
     """Weights per feature and class, the last class being the unknown one."""
 
-    def __init__(self, spark: SparkSession, sample: DataFrame, false_alarms: float):
+    def __init__(self, spark: SparkSession, sample: DataFrame):
         self.classes = [*dict.fromkeys(family for family, _ in NOTICES), UNKNOWN]
         known = [*[n for _, n in NOTICES], *OTHERS]
         self.vocabulary = sorted({g for t in known for g in (*_words(t), *_pairs(t))})
         number = {name: n for n, name in enumerate(self.classes)}
         labelled = [(number[f], t, 50.0) for f, t in NOTICES] + [(number[UNKNOWN], t, 20.0) for t in OTHERS]
         given = _table(spark, [(float(a), b, c) for a, b, c in labelled], "label line weight")
-        # A sampled line that has half of a notice may be one, and is not taken for unknown.
-        alike = F.coalesce(self.similarity(words(F.col("line"))), F.lit(0.0))
-        sample = sample.filter(alike < 0.5)
-        unknown = sample.filter("part = 0").select(F.lit(float(number[UNKNOWN])).alias("label"), "line", F.lit(1.0).alias("weight"))
+        sample = sample.filter(~self.suspect(words(F.col("line"))))
+        unknown = sample.select(F.lit(float(number[UNKNOWN])).alias("label"), "line", F.lit(1.0).alias("weight"))
         rows = given.union(unknown).withColumn("grams", features(words(F.col("line"))))
         vector = CountVectorizerModel.from_vocabulary(self.vocabulary, inputCol="grams", outputCol="features")
         fit = LogisticRegression(
@@ -250,11 +250,28 @@ class Classifier:
             or [("", [0.0] * len(self.classes))],
             "gram weights",
         )
-        checked = sample.filter("part = 1").withColumn("row", F.monotonically_increasing_id())
-        margins = self.logits(checked.select("row", words(F.col("line")).alias("words")), ["row"])
-        margin = F.array_max(F.slice("logits", 1, len(self.classes) - 1)) - F.element_at("logits", -1)
-        alarm = margins.agg(F.percentile(margin, 1 - false_alarms)).first()[0]
-        self.bias[-1] += max(0.0, float(alarm or 0.0))
+
+    def suspect(self, of: Column) -> Column:
+        """Whether the words may be a notice: they have half of one, or two telling words of one in a row."""
+        telling = set(telling_words())
+        strong = sorted({p for _, t in NOTICES for p in _pairs(t) if telling.issuperset(p.split())})
+        return F.arrays_overlap(pairs(of), F.array(*map(F.lit, strong))) | (F.coalesce(self.similarity(of), F.lit(0.0)) >= 0.5)
+
+    def calibrate(self, scored: DataFrame, lines: int, false_alarms: float) -> float:
+        """Raise the unknown bias, given the margins of all lines with telling words, and how many lines there are."""
+        suspect = self.suspect(words(F.col("line")))
+        step = F.when(~suspect & (F.col("margin") > 0), F.floor(F.col("margin") * 1024).cast("long"))
+        # As many rows as margins have steps.
+        steps = scored.groupBy(suspect.alias("suspect"), step.alias("step")).count().collect()
+        allowed = int(false_alarms * (lines - sum(r["count"] for r in steps if r["suspect"])))
+        raised = 0.0
+        for row in sorted((r for r in steps if r["step"] is not None), key=lambda r: -r["step"]):
+            allowed -= row["count"]
+            if allowed < 0:
+                raised = (row["step"] + 1) / 1024
+                break
+        self.bias[-1] += raised
+        return raised
 
     def logits(self, rows: DataFrame, key: list[str]) -> DataFrame:
         """The rows' keys and an array of one logit per class; ``rows`` has the key and words."""
@@ -293,19 +310,24 @@ def scan_licences(
     a single line ends in the paragraph it begins in.
     """
     spark = docs.sparkSession
-    model = Classifier(spark, _sample(docs, id_col, text_col, sample_docs), false_alarms)
+    model = Classifier(spark, _sample(docs, id_col, text_col, sample_docs))
     telling = F.array(*map(F.lit, telling_words()))
     lines = paragraphs(docs, id_col, text_col).withColumn("words", words(F.col("line")))
     lines = lines.filter(F.arrays_overlap("words", telling))
     # Equal lines are scored once; the join brings them back to their places.
     distinct = lines.select("line").distinct().withColumn("words", words(F.col("line")))
     logits = model.logits(distinct, ["line"])
-    top = F.array_max("logits")
-    total = F.aggregate("logits", F.lit(0.0), lambda a, x: a + F.exp(x - top))
     classes = F.array(*map(F.lit, model.classes))
-    family = F.element_at(classes, F.array_position("logits", top).cast("int"))
-    named = logits.select("line", family.alias("family"), (1 / total).alias("probability"))
-    named = named.filter(F.col("family") != UNKNOWN)
+    known = F.slice("logits", 1, len(model.classes) - 1)
+    top = F.array_max(known)
+    others = F.aggregate(known, F.lit(0.0), lambda a, x: a + F.exp(x - top))
+    family = F.element_at(classes, F.array_position(known, top).cast("int"))
+    margin = top - F.element_at("logits", -1)
+    scored = written(logits.select("line", family.alias("family"), margin.alias("margin"), others.alias("others")), "margins")
+    every = paragraphs(docs, id_col, text_col).select(F.xxhash64("line")).distinct().count()
+    raised = model.calibrate(scored, every, false_alarms)
+    probability = 1 / (F.col("others") + F.exp(raised - F.col("margin")))
+    named = scored.filter(F.col("margin") >= raised).select("line", "family", probability.alias("probability"))
     alike = model.similarity(words(F.col("line")), F.col("family"))
     named = named.withColumn("similarity", alike)
     single = lines.select("doc_id", "paragraph", F.col("paragraph").alias("last_paragraph"), "line").join(named, "line")
@@ -313,6 +335,8 @@ def scan_licences(
     joined = written(wrapped(docs, share, id_col, text_col), "notices")
     texts = joined.select("line").distinct().withColumn("words", words(F.col("line")))
     mine = F.element_at("logits", F.array_position(classes, F.col("family")).cast("int"))
+    top = F.array_max("logits")
+    total = F.aggregate("logits", F.lit(0.0), lambda a, x: a + F.exp(x - top))
     several = joined.join(model.logits(texts, ["line"]), "line").withColumn("probability", F.exp(mine - top) / total)
 
     version = F.regexp_extract(F.lower("line"), r"(?:version |v\. ?|v|[a-z0] )([0-9]+(?:\.[0-9]+)*)", 1)

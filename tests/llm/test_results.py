@@ -343,6 +343,24 @@ def test_wrapped_notices_are_confirmed(spark):
     assert all(r["last_paragraph"] > r["paragraph"] for r in found)
 
 
+def test_many_headers_do_not_hide_weaker_notices(spark):
+    header = "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by"
+    weak = "Released under GPL version 2 or any later version"
+    docs = [(n, f"{header}\nfile {n} of many") for n in range(300)] + [(1000, weak)]
+    found = licences.scan_licences(spark.createDataFrame(docs, "doc_id long, text string"), sample_docs=100).filter("confirmed")
+    assert [(r["paragraph"], r["family"]) for r in found.filter("doc_id = 1000").collect()] == [(0, "gpl")]
+
+
+def test_calibration_counts_every_distinct_line_once(spark):
+    """One alarm in a thousand lines is allowed; copies of a line and suspect lines do not count."""
+    model = object.__new__(licences.Classifier)
+    model.bias = [0.0, 0.0]
+    scored = [(f"some words {n}", 2.0 + n) for n in range(3)] + [("GNU General Public License", 9.0), ("nothing", -1.0)]
+    scored = spark.createDataFrame(scored, "line string, margin double")
+    assert 3.0 < model.calibrate(scored, 1001, 0.001) < 3.01
+    assert model.calibrate(scored, 3001, 0.001) == 0.0
+
+
 def test_other_sentences_are_unknown(spark):
     lines = [*licences.OTHERS, "The license to drive was lost.", "Nothing of note here at all."]
     docs = spark.createDataFrame([(n, line) for n, line in enumerate(lines)], "doc_id long, text string")
