@@ -205,22 +205,39 @@ _INDEX = (
 )
 
 
-def build_index(nodes: DataFrame, shards: int, largest: float) -> DataFrame:
-    """A row per shard: its graph as flat arrays.  ``nodes`` has node and vector."""
+def deal(nodes: DataFrame) -> tuple[DataFrame, int]:
+    """The nodes with a shard each, and how many shards there are.  ``nodes`` has node, vector and norm.
+
+    Norms of a shard differ by less than a factor of two, so that single-precision
+    products of its scaled vectors stay apart, whatever the norms elsewhere.
+    """
+    level = F.floor(F.log2("norm"))
+    # At most as many rows as a double has exponents.
+    sizes = nodes.groupBy(level.alias("level")).count().orderBy("level").collect()
+    counts = [max(1, round(r["count"] / SHARD_VECTORS)) for r in sizes]
+    spans = [x for r, n, end in zip(sizes, counts, np.cumsum(counts).tolist()) for x in (F.lit(r["level"]).cast("long"), F.array(F.lit(end - n), F.lit(n)))]
+    if not spans:
+        return nodes.withColumn("shard", F.lit(0).cast("long")), 1
+    span = F.element_at(F.create_map(*spans), level)
+    return nodes.withColumn("shard", (span[0] + F.pmod(F.xxhash64("node"), span[1])).cast("long")), sum(counts)
+
+
+def build_index(nodes: DataFrame) -> DataFrame:
+    """A row per shard: its graph as flat arrays.  ``nodes`` has shard, node and vector."""
 
     def build(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("node")
         vectors = np.stack(rows["vector"].to_numpy())
         # The added component makes all norms equal, so the largest product is the smallest angle.
-        added = np.sqrt(np.maximum(largest**2 - (vectors**2).sum(axis=1), 0))
-        graph = Graph((np.c_[vectors, added] / largest).astype(np.float32)).build()
+        squares = (vectors**2).sum(axis=1)
+        added = np.sqrt(np.maximum(squares.max() - squares, 0))
+        graph = Graph((np.c_[vectors, added] / np.sqrt(squares.max())).astype(np.float32)).build()
         ids = rows["node"].to_numpy(np.int64).tobytes()
         return pd.DataFrame([{"shard": int(rows["shard"].iloc[0]), "ids": ids, **graph.arrays()}])[
             [c.split()[0] for c in _INDEX.split(", ")]
         ]
 
-    dealt = nodes.withColumn("shard", F.pmod(F.xxhash64("node"), F.lit(shards)))
-    return dealt.groupBy("shard").applyInPandas(build, _INDEX)
+    return nodes.groupBy("shard").applyInPandas(build, _INDEX)
 
 
 def search_index(index: DataFrame, shards: int, queries: DataFrame, k: int, beam: int) -> DataFrame:
@@ -272,12 +289,11 @@ def nearest_neighbours(
     few = rows.filter(same).distinct().withColumn("n", least).filter(F.col("n") <= k + 1)
     classes = few.groupBy("vector").agg(F.sort_array(F.collect_list("vec_id")).alias("members"), F.max("norm").alias("norm"))
     classes = written(classes.withColumn("node", F.col("members")[0]), "vectors")
-    distinct, largest = classes.agg(F.count("*"), F.max("norm")).first()
     asked = asked.filter(same).distinct()
     of = written(asked.groupBy("vector").agg(F.min("vec_id").alias("query_id")), "queries")
     # A shard has some thousand nodes; two classes share a node only where ids are repeated.
-    shards = max(1, round(distinct / SHARD_VECTORS))
-    index = written(build_index(classes.select("node", "vector"), shards, largest or 1.0), "index")
+    dealt, shards = deal(classes.select("node", "vector", "norm"))
+    index = written(build_index(dealt.select("shard", "node", "vector")), "index")
     found = search_index(index, shards, of, k + 1, beam).distinct()
     product = F.aggregate(F.zip_with("vector", "other", lambda a, b: a * b), F.lit(0.0), lambda a, x: a + x)
     found = (

@@ -300,6 +300,18 @@ def test_recall_of_graphs(spark):
     assert np.mean([len(set(a) & set(b[:20])) / 20 for a, b in zip(wanted, found)]) >= 0.9
 
 
+def test_an_outlier_does_not_hide_other_neighbours(spark):
+    vectors = np.random.default_rng(5).normal(size=(1_500, 32))
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    vectors[7] *= 1e4
+    rows = spark.createDataFrame([(n, v.tolist()) for n, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    found = defaultdict(set)
+    for r in graph_search.nearest_neighbours(rows, rows.filter("vec_id % 20 = 0")).collect():
+        found[r["query_id"]].add(r["vec_id"])
+    wanted = {q: [n for n in np.argsort(-(vectors @ vectors[q])).tolist() if n != q][:20] for q in range(0, 1_500, 20)}
+    assert sum(len(found[q] & set(w)) for q, w in wanted.items()) >= 0.9 * 20 * len(wanted)
+
+
 def test_nearest_neighbours_equal_brute_force(spark):
     rows = spark.read.parquet(f"{TINY}/embeddings.parquet").collect()
     vectors = {r["vec_id"]: np.array(r["embedding"], float) for r in rows}
