@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from floodmark.llm.chat_format import OP13_SQL, op13_chat_format
 from floodmark.llm.decontamination import op3_decontamination
 from floodmark.llm.graph_search import op8_graph_search
 from floodmark.llm.licences import op1_licence_scan
@@ -24,9 +25,10 @@ QUERIES = [
     op8_graph_search,
     op9_token_counts,
     op10_line_dedup,
+    op13_chat_format,
 ]
 
-ORACLES = {"op10_line_dedup": OP10_SQL}
+ORACLES = {"op10_line_dedup": OP10_SQL, "op13_chat_format": OP13_SQL}
 
 
 def all_queries():
