@@ -161,12 +161,12 @@ def text_slices(batch: pa.RecordBatch, text: str = "text") -> Iterator[pa.Record
         begin = end
 
 
-def by_slices(work: Callable[[pa.RecordBatch], pa.RecordBatch | None]):
+def by_slices(work: Callable[[pa.RecordBatch], pa.RecordBatch | None], text: str = "text"):
     """A function for mapInArrow that works on slices of bounded text."""
 
     def run(batches):
         for batch in batches:
-            for part in text_slices(batch):
+            for part in text_slices(batch, text):
                 out = work(part)
                 if out is not None and out.num_rows:
                     yield out

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from floodmark.llm.chat_format import OP13_SQL, op13_chat_format
+from floodmark.llm.collocations import OP12_SQL, op12_collocations
 from floodmark.llm.decontamination import op3_decontamination
 from floodmark.llm.graph_search import op8_graph_search
 from floodmark.llm.licences import op1_licence_scan
@@ -13,6 +14,7 @@ from floodmark.llm.quality import op6_quality
 from floodmark.llm.sharding import op7_uniform_sharding
 from floodmark.llm.token_counts import op9_token_counts
 from floodmark.llm.toxicity import op4_toxicity
+from floodmark.llm.whitening import op11_whitening
 
 QUERIES = [
     op1_licence_scan,
@@ -25,10 +27,16 @@ QUERIES = [
     op8_graph_search,
     op9_token_counts,
     op10_line_dedup,
+    op11_whitening,
+    op12_collocations,
     op13_chat_format,
 ]
 
-ORACLES = {"op10_line_dedup": OP10_SQL, "op13_chat_format": OP13_SQL}
+ORACLES = {
+    "op10_line_dedup": OP10_SQL,
+    "op12_collocations": OP12_SQL,
+    "op13_chat_format": OP13_SQL,
+}
 
 
 def all_queries():
