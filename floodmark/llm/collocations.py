@@ -30,6 +30,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -54,7 +55,7 @@ MOST_PHRASES = 2000
 WITHIN_PERCENT = 100
 
 OVERLAP = LONGEST - 1
-TRIGGER = 24
+TRIGGER = 96
 MOST_WORDS = 4096
 BITS_PER_ITEM = 64
 LEAST_BITS, MOST_BITS = 1 << 16, 1 << 26
@@ -68,7 +69,9 @@ ENDS_PIECE = np.zeros(256, bool)
 ENDS_PIECE[list(_ENDS)] = True
 
 CHUNKS = "lang string, chunk string, last boolean, owned long"
-COUNTS = "lang string, phrase string, n_words int, f long"
+# A phrase with its language before it, parted by a line end, which no phrase holds: one
+# short column is less to shuffle than two.
+COUNTS = "key string, f long"
 _STEP = U64(0x9E3779B97F4A7C15)
 _SECOND = U64(0xD6E8FEB86659FD93)
 
@@ -199,7 +202,7 @@ def _hashed(part: pa.RecordBatch, text: str):
         return data, mixed(hashes + lang), starts, ends, first
 
 
-def _grouped(part, data, row, weight, key, second, begin, end, size) -> pa.RecordBatch | None:
+def _grouped(part, data, row, weight, key, second, begin, end) -> pa.RecordBatch | None:
     """Phrases of a slice with summed weights; equal ones may come in several rows."""
     if not len(key):
         return None
@@ -207,14 +210,11 @@ def _grouped(part, data, row, weight, key, second, begin, end, size) -> pa.Recor
     key, second = key[order], second[order]
     new = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (second[1:] != second[:-1])])
     chosen = order[new]
+    lang = part.column("lang").take(pa.array(row[chosen]))
+    phrase = _strings(data, begin[chosen], end[chosen])
     return pa.RecordBatch.from_arrays(
-        [
-            part.column("lang").take(pa.array(row[chosen])),
-            _strings(data, begin[chosen], end[chosen]),
-            pa.array(np.broadcast_to(size, len(order))[chosen].astype(np.int32)),
-            pa.array(np.add.reduceat(weight[order], new)),
-        ],
-        ["lang", "phrase", "n_words", "f"],
+        [pc.binary_join_element_wise(lang, phrase, "\n"), pa.array(np.add.reduceat(weight[order], new))],
+        ["key", "f"],
     )
 
 
@@ -254,23 +254,23 @@ def _count_slice(part, smallest: int, largest: int, frequent: BitSet | None):
                 second[: n - size + 1] = mixed(second[: n - size + 1] * _SECOND + hashes[size - 1 :])
             if size >= smallest:
                 at = np.flatnonzero(runs & counted)
-                found.append((at, key[at], second[at], ends[at + size - 1], np.full(len(at), size)))
+                found.append((at, key[at], second[at], ends[at + size - 1]))
         if not found:
             return None
-        at, key, second, end, size = (np.concatenate(x) for x in zip(*found))
-        return _grouped(part, data, row[at], weight[at], key, second, starts[at], end, size)
+        at, key, second, end = (np.concatenate(x) for x in zip(*found))
+        return _grouped(part, data, row[at], weight[at], key, second, starts[at], end)
 
 
 def counts(
     dictionary: DataFrame, smallest: int, largest: int, frequent: Broadcast | None = None
 ) -> DataFrame:
-    """lang, phrase, n_words and f, the number of places, of phrases that may be frequent."""
+    """key (language and phrase) and f, the number of places, of phrases that may be frequent."""
 
     def run(part):
         return _count_slice(part, smallest, largest, frequent.value if frequent else None)
 
     found = dictionary.mapInArrow(by_slices(run, "chunk"), COUNTS)
-    return found.groupBy("lang", "phrase", "n_words").agg(F.sum("f").alias("f"))
+    return found.groupBy("key").agg(F.sum("f").alias("f"))
 
 
 def bit_set(phrases: DataFrame, size: int) -> BitSet:
@@ -301,7 +301,13 @@ def bit_set(phrases: DataFrame, size: int) -> BitSet:
 
 
 def _frequent(found: DataFrame, least: int, name: str) -> DataFrame:
-    return written(found.filter(F.col("f") >= least), name)
+    """lang, phrase, n_words and f of the frequent ones."""
+    phrase = F.substring_index("key", "\n", -1)
+    lang = F.expr("left(key, char_length(key) - char_length(substring_index(key, '\n', -1)) - 1)")
+    kept = found.filter(F.col("f") >= least).select(
+        lang.alias("lang"), phrase.alias("phrase"), F.size(F.split(phrase, " ")).alias("n_words"), "f"
+    )
+    return written(kept, name)
 
 
 def phrase_counts(dictionary: DataFrame, least: int = LEAST_COUNT, longest: int = LONGEST) -> DataFrame:
