@@ -62,7 +62,11 @@ def main(words: list[str] | None = None) -> None:
         store.create()
     loads.refresh_managed_objects(store, landing, now)
     stream = stream_alerts(
-        store, landing, args.stream, files_per_batch=args.files_per_batch
+        store,
+        landing,
+        args.stream,
+        files_per_batch=args.files_per_batch,
+        wait=not args.accept_gaps,
     )
     stream.awaitTermination()
 

@@ -1,24 +1,69 @@
 """Tables kept unique by key, stored as Parquet in key ranges.
 
-A table is a folder of Parquet partitions, one per range of keys.  Ids grow
-with time, so a load touches the newest ranges and the few older ones that
-still hold open alerts, and an upsert rewrites only those.
+A table is a folder per range of keys, with a folder per version in it.  Ids grow with
+time, so a load touches the newest ranges and the few older ones that still hold open
+alerts.  Of a touched range only those files are written anew that hold a key of the
+batch: what else they hold goes into the new version, beside the batch.
+
+One small note says which versions of which ranges are in use, and which of their files
+are not any more.  It is replaced last, so a load that breaks off has changed nothing,
+and readers see the table before or after an upsert.  Versions that went out of use
+stay for as long as the last revisions of that note name them; views made meanwhile
+answer from them.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from floodmark.operators.constraints import write_checked
 from floodmark.operators.latest import first_per_key, latest_per_key
+from floodmark.operators.revisions import KEPT, RevisionLog
 from floodmark.schemas import TableSpec
+from floodmark.sources import folders
 
-RANGE = "key_range"
+RANGE, VERSION, FILE = "key_range", "version", "file"
 DEFAULT_RANGE_WIDTH = 1_000_000
+# A range of so many versions is written anew as a whole, small files and all.
+MOST_VERSIONS = 32
+
+# The order of arrival, stored with every row that came with one.
+ARRIVED = "_arrived"
+ARRIVAL_TYPES = {"batch_at": "timestamp_ntz", "page": "int", "pos": "int", "list_pos": "int"}
+_ARRIVED_TYPE = f"struct<{', '.join(f'{n}: {t}' for n, t in ARRIVAL_TYPES.items())}>"
+
+# Which versions of a range are in use, and the names of their files that are not.
+Parts = dict[int, set[str]]
+
+
+@dataclass(frozen=True)
+class InUse:
+    """What the table consists of at one revision."""
+
+    revision: int
+    ranges: dict[int, Parts]
+
+    def files_left_out(self) -> set[str]:
+        return {name for parts in self.ranges.values() for names in parts.values() for name in names}
+
+    def only(self, ranges: Iterable[int]) -> InUse:
+        return InUse(self.revision, {r: self.ranges[r] for r in ranges if r in self.ranges})
+
+
+@dataclass(frozen=True)
+class Change:
+    """What an upsert did: rows that are stored now, and the ones they replaced.
+
+    To be read before the next upsert of the table.
+    """
+
+    stored: DataFrame
+    replaced: DataFrame | None
 
 
 @dataclass(frozen=True)
@@ -38,81 +83,229 @@ class KeyedTable:
     def staging_path(self) -> str:
         return f"{self.root}/_staging/{self.spec.name}"
 
+    @property
+    def _log(self) -> RevisionLog:
+        return RevisionLog(self.spark, f"{self.root}/{self.spec.name}/in_use_{self.range_width}")
+
     def create(self, rows: DataFrame | None = None) -> None:
         """Make the table anew with the given rows or none, dropping whatever it held."""
         if rows is None:
             rows = self.spark.createDataFrame([], self.spec.schema)
+        self._log.reset([])
         # All of it goes, also where the session replaces single partitions only.
-        everything = self._ranged(rows).write.option("partitionOverwriteMode", "static")
-        everything.mode("overwrite").partitionBy(RANGE).parquet(self.path)
+        first = self._ranged(rows, []).withColumn(VERSION, F.lit(1).cast("bigint"))
+        write_checked(
+            first,
+            self.spec,
+            lambda r: r.write.option("partitionOverwriteMode", "static")
+            .mode("overwrite")
+            .partitionBy(RANGE, VERSION)
+            .parquet(self.path),
+        )
+        held = folders.entries(self.spark, self.path)
+        ranges = {int(one.name.split("=")[1]): {1: set()} for one in held if one.is_folder}
+        self._put_in_use(InUse(1, ranges))
 
     def exists(self) -> bool:
-        try:
-            self.read()
-        except AnalysisException:
-            return False
-        return True
+        return self._log.take() is not None
 
     def read(self) -> DataFrame:
-        return self._stored().select(*self.spec.columns)
+        """The rows as they are now; later changes do not show in the frame."""
+        return self._stored(self.in_use()).select(*self.spec.columns)
+
+    def ranges_of(self, keys: DataFrame) -> list[int]:
+        """The key ranges of some keys, whether stored or not."""
+        key_range = F.expr(f"cast({self.spec.range_of} div {self.range_width} as bigint)")
+        return [row[0] for row in keys.select(key_range).distinct().collect()]
 
-    def upsert(self, batch: DataFrame, arrival: Sequence[str]) -> None:
+    def read_ranges(self, ranges: Iterable[int]) -> DataFrame:
+        """The rows of some key ranges, with the range of each."""
+        return self._stored(self.in_use().only(ranges)).select(*self.spec.columns, RANGE)
+
+    def upsert(
+        self,
+        batch: DataFrame,
+        arrival: Sequence[str],
+        only_later: bool = False,
+        widen: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+    ) -> Change:
         """Replace or add whole rows by key; the last arrival of a key wins.
 
-        Only the key ranges present in the batch are read and rewritten.  Old
-        rows give way to new ones by an anti-join: with a small batch Spark
-        broadcasts the new keys and old rows stay where they are.  Repeating an
-        upsert changes nothing.
+        With ``only_later`` that holds for stored rows too: a row of the batch gives
+        way to a stored one that arrived after it.  Repeating an upsert changes
+        nothing.  ``widen`` adds columns to the rows that win within the batch, so that
+        wide ones take no part in choosing them.
+
+        Keys and places of stored rows in the batch's ranges meet the batch first; Spark
+        broadcasts a small batch there.  Then the files that hold some of its keys are
+        read, and no others.
         """
-        staged = self._stage(latest_per_key(batch, [self.spec.key], arrival))
+        staged = self._stage(widen(latest_per_key(batch, [self.spec.key], arrival)), arrival)
         touched = self._ranges_in(staged)
+        now = self.in_use()
+        there = now.only(touched)
+        hit: dict[int, Parts] = {}
+        fresh, kept, replaced = staged, None, None
         if not touched:
-            return
-        old = self._stored().where(F.col(RANGE).isin(touched))
-        kept = without_keys(old, staged, self.spec.key)
-        self._write(kept.unionByName(staged), "overwrite")
+            return Change(staged, None)
+        if there.ranges:
+            met = self._met(staged, there)
+            places = met.select(RANGE, VERSION, FILE, "stale").distinct().collect()
+            if only_later and any(row.stale for row in places):
+                fresh = without_keys(staged, met.where("stale"), self.spec.key)
+            for row in places:
+                if not (only_later and row.stale):
+                    hit.setdefault(row[0], {}).setdefault(row[1], set()).add(row[2])
+            for key_range, parts in there.ranges.items():
+                if len(parts) >= MOST_VERSIONS:
+                    hit[key_range] = self._files({key_range: parts})[key_range]
+            if hit:
+                names = [name for parts in hit.values() for files in parts.values() for name in files]
+                old = self._stored(there.only(hit)).where(_file_name().isin(names))
+                kept = without_keys(old, fresh, self.spec.key)
+                replaced = old.join(fresh.select(self.spec.key), self.spec.key, "left_semi")
+        rows = fresh if kept is None else kept.select(*fresh.columns).unionByName(fresh)
+        self._add_version(now, rows, touched, hit)
+        return Change(fresh, replaced)
 
     def insert_absent(self, batch: DataFrame, arrival: Sequence[str] | None = None) -> None:
         """Add the rows whose key is not stored yet; stored rows stay as they are."""
         fresh = first_per_key(batch, [self.spec.key], arrival or [self.spec.key])
-        self._write(self._stage(without_keys(fresh, self.read(), self.spec.key)), "append")
+        now = self.in_use()
+        absent = without_keys(fresh, self._stored(now), self.spec.key)
+        staged = self._stage(absent, arrival or [])
+        self._add_version(now, staged, self._ranges_in(staged), {})
+
+    # Versions.
+
+    def in_use(self) -> InUse:
+        found = self._log.take()
+        if found is None:
+            raise LookupError(f"{self.spec.name} was never created at {self.path}")
+        ranges, revision = found
+        return InUse(revision, {r: {v: set(without) for v, without in parts} for r, parts in ranges})
+
+    def files(self) -> list[str]:
+        """Names of the files in use."""
+        found = self._files(self.in_use().ranges)
+        return sorted(n for parts in found.values() for names in parts.values() for n in names)
+
+    def _files(self, ranges: dict[int, Parts]) -> dict[int, Parts]:
+        return {
+            r: {v: self._names(r, v) - without for v, without in parts.items()}
+            for r, parts in ranges.items()
+        }
 
-    def _write(self, rows: DataFrame, mode: str) -> None:
-        """Write rows to their key ranges; overwriting replaces the ranges in hand only.
+    def _names(self, key_range: int, version: int) -> set[str]:
+        held = folders.entries(self.spark, self._folder(key_range, version))
+        return {one.name for one in held if not one.is_folder}
+
+    def _folder(self, key_range: int, version: int) -> str:
+        return f"{self.path}/{RANGE}={key_range}/{VERSION}={version}"
+
+    def _add_version(
+        self, now: InUse, rows: DataFrame, touched: list[int], replaced: dict[int, Parts]
+    ) -> None:
+        """Write rows as the next version, then put it in use in place of some files."""
+        version = now.revision + 1
+        for key_range in touched:
+            # A load that broke off may have written under this number.
+            folders.remove(self.spark, self._folder(key_range, version))
+        self._write(rows, version)
+        ranges = {r: {v: set(n) for v, n in parts.items()} for r, parts in now.ranges.items()}
+        for key_range, parts in replaced.items():
+            for old, names in parts.items():
+                ranges[key_range][old] |= names
+                if ranges[key_range][old] >= self._names(key_range, old):
+                    del ranges[key_range][old]
+        for key_range in touched:
+            if self._names(key_range, version):
+                ranges.setdefault(key_range, {})[version] = set()
+        found = InUse(version, ranges)
+        self._put_in_use(found)
+        self._clear(touched, found)
+
+    def _write(self, rows: DataFrame, version: int) -> None:
+        """Write rows to their key ranges.
 
         Rebalancing puts each range into few files of even size.  A range that
         outgrows the others is split over several tasks.
         """
         (
-            rows.hint("rebalance", F.col(RANGE))
-            .write.mode(mode)
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(RANGE)
+            rows.withColumn(VERSION, F.lit(version).cast("bigint"))
+            .hint("rebalance", F.col(RANGE))
+            .write.mode("append")
+            .partitionBy(RANGE, VERSION)
             .parquet(self.path)
         )
 
-    def _stored(self) -> DataFrame:
-        schema = self.spec.schema.add(RANGE, "long")
-        return self.spark.read.schema(schema).parquet(self.path)
+    def _put_in_use(self, found: InUse) -> None:
+        ranges = [
+            (r, [(v, sorted(names)) for v, names in sorted(parts.items())])
+            for r, parts in sorted(found.ranges.items())
+        ]
+        self._log.append(ranges, found.revision)
+
+    def _clear(self, ranges: list[int], found: InUse) -> None:
+        """Remove versions of some ranges that no kept revision names, once there are many."""
+        held = {
+            (r, int(one.name.split("=")[1]))
+            for r in ranges
+            for one in folders.entries(self.spark, f"{self.path}/{RANGE}={r}")
+        }
+        in_use = {(r, v) for r, parts in found.ranges.items() for v in parts}
+        if len(held - in_use) <= KEPT * len(ranges):
+            return
+        named = {
+            (r, version)
+            for ranges_then in self._log.all()
+            for r, parts in ranges_then
+            for version, _ in parts
+        }
+        for key_range, version in held - named:
+            folders.remove(self.spark, self._folder(key_range, version))
+
+    # Rows.
+
+    def _stored(self, found: InUse) -> DataFrame:
+        """The rows of some versions; files that are left out are never opened."""
+        schema = f"{self.spec.ddl}, {ARRIVED} {_ARRIVED_TYPE}, {RANGE} bigint, {VERSION} bigint"
+        paths = [self._folder(r, v) for r, parts in found.ranges.items() for v in parts]
+        if not paths:
+            return self.spark.createDataFrame([], T.StructType.fromDDL(schema))
+        rows = self.spark.read.schema(schema).option("basePath", self.path).parquet(*paths)
+        left_out = sorted(found.files_left_out())
+        return rows.where(~_file_name().isin(left_out)) if left_out else rows
+
+    def _met(self, staged: DataFrame, there: InUse) -> DataFrame:
+        """Stored rows with keys of the batch: their file, and whether they arrived after it."""
+        key = self.spec.key
+        stored = self._stored(there).select(
+            key, RANGE, VERSION, _file_name().alias(FILE), F.col(ARRIVED).alias("before")
+        )
+        stale = F.coalesce(F.col("before") > F.col(ARRIVED), F.lit(False)).alias("stale")
+        return stored.join(staged.select(key, ARRIVED), key).select(key, RANGE, VERSION, FILE, stale)
 
-    def _ranged(self, rows: DataFrame) -> DataFrame:
+    def _ranged(self, rows: DataFrame, arrival: Sequence[str]) -> DataFrame:
         key = self.spec.key
         key_range = F.expr(f"cast({self.spec.range_of} div {self.range_width} as bigint)")
-        checked = F.coalesce(F.col(key), F.raise_error(F.lit(f"{self.spec.name}: null {key}")))
         return (
-            rows.select(*self.spec.columns)
-            .withColumn(key, checked.cast(self.spec.schema[key].dataType))
+            rows.select(*self.spec.columns, _arrived(arrival).alias(ARRIVED))
+            .withColumn(key, F.col(key).cast(self.spec.schema[key].dataType))
             .withColumn(RANGE, key_range)
         )
 
-    def _stage(self, rows: DataFrame) -> DataFrame:
+    def _stage(self, rows: DataFrame, arrival: Sequence[str]) -> DataFrame:
         """Write the batch once beside the table and read it back.
 
         The batch is computed a single time, its true size is known to the
-        planner, and a lost executor costs a re-read instead of a recompute.
+        planner, and a lost executor costs a re-read instead of a recompute.  Rows
+        that lack required values are found by this write, and nothing is changed.
         """
-        ranged = self._ranged(rows)
-        ranged.write.mode("overwrite").parquet(self.staging_path)
+        ranged = self._ranged(rows, arrival)
+        write_checked(
+            ranged, self.spec, lambda r: r.write.mode("overwrite").parquet(self.staging_path)
+        )
         return self.spark.read.schema(ranged.schema).parquet(self.staging_path)
 
     def _ranges_in(self, staged: DataFrame) -> list[int]:
@@ -121,6 +314,21 @@ class KeyedTable:
         return [row[0] for row in staged.select(RANGE).distinct().collect()]
 
 
+def _file_name() -> Column:
+    return F.col("_metadata.file_name")
+
+
+def _arrived(arrival: Sequence[str]) -> Column:
+    """The order of arrival as a struct that compares as it; null where there is none."""
+    if not arrival or not set(arrival) <= set(ARRIVAL_TYPES):
+        return F.lit(None).cast(_ARRIVED_TYPE)
+    fields = [
+        (F.col(name) if name in arrival else F.lit(None)).cast(kind).alias(name)
+        for name, kind in ARRIVAL_TYPES.items()
+    ]
+    return F.struct(*fields)
+
+
 def without_keys(rows: DataFrame, taken: DataFrame, key: str) -> DataFrame:
     """Rows whose key does not occur among the taken ones."""
     return rows.join(taken.select(key), key, "left_anti")

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from floodmark.functions import names, times
+from floodmark.functions import amounts, names, times
 
 UNITS = ("bps", "pps")
 RATE_KEY = ["batch_at", "alert_id", "mitigation_id", "method"]
@@ -96,6 +96,27 @@ def blackhole_entries(replies: DataFrame) -> DataFrame:
     )
 
 
+def without_series(entries: DataFrame) -> DataFrame:
+    """Entries with a number of their own, and in place of the series its total.
+
+    To be written down before use, as the number is drawn when a row is made.
+    """
+    stat = F.col("stat")
+    fields = [stat[name].alias(name) for name in RATE_FIELDS if name != "timeseries"]
+    return entries.withColumn("entry", F.monotonically_increasing_id()).select(
+        *RATE_KEY,
+        "seq",
+        "unit",
+        F.struct(
+            *fields,
+            amounts.series_total(stat["timeseries"], stat["step"]).alias("total"),
+            F.col("entry").alias("entry"),
+        ).alias("stat"),
+        "entry",
+        stat["timeseries"].alias("timeseries"),
+    )
+
+
 def merge_units(entries: DataFrame) -> DataFrame:
     """One row per mitigation with its bit and packet rates side by side.
 
@@ -110,9 +131,9 @@ def merge_units(entries: DataFrame) -> DataFrame:
     )
 
 
-def all_rates(device: DataFrame, flowspec: DataFrame, blackhole: DataFrame) -> DataFrame:
-    """The three kinds of replies as one table of rates by mitigation."""
+def all_entries(device: DataFrame, flowspec: DataFrame, blackhole: DataFrame) -> DataFrame:
+    """The three kinds of replies as one table of entries."""
     entries = device_entries(device)
     for more in (flowspec_entries(flowspec), blackhole_entries(blackhole)):
         entries = entries.unionByName(more)
-    return merge_units(entries)
+    return entries

@@ -61,8 +61,8 @@ def wrong_values(rows: DataFrame, expected: DataFrame, key: str, value: str) ->
 KNOWN_OBJECT = (10, "Dark IP")
 
 
-def verify_fresh(store) -> bool:
-    """Whether a new store holds exactly its seeds.  A failing lookup counts as no."""
+def fresh_findings(store) -> DataFrame:
+    """Rows of all tables beside those of a fresh store, and whether the known object has its name."""
     sizes = [(t.name, len(seeds.SEED_ROWS.get(t.name, []))) for t in schemas.TABLES]
     expected = seeds.literal_rows(store.spark, sizes, "table_name string, expected_count bigint")
     counts = table_counts({t.name: store.table(t) for t in schemas.TABLES})
@@ -70,12 +70,21 @@ def verify_fresh(store) -> bool:
         store.spark, [KNOWN_OBJECT], "id int, managed_object_name string"
     )
     named = wrong_values(store.managed_object.read(), known, "id", "managed_object_name")
-    return all(
-        findings.where(~F.col("ok")).isEmpty()
-        for findings in (compare_counts(counts, expected), named)
+    return compare_counts(counts, expected).unionByName(
+        named.select(
+            F.col("expected").alias("table_name"),
+            F.lit(1).cast("bigint").alias("expected_count"),
+            F.col("ok").cast("bigint").alias("row_count"),
+            "ok",
+        )
     )
 
 
+def verify_fresh(store) -> bool:
+    """Whether a new store holds exactly its seeds.  A failing lookup counts as no."""
+    return fresh_findings(store).where(~F.col("ok")).isEmpty()
+
+
 def table_faults(rows: DataFrame, spec: TableSpec) -> DataFrame:
     """Violations of a table's constraints: repeated keys and missing required values."""
     repeated = duplicate_keys(rows, spec.key).agg(F.count(F.lit(1)).alias("faults"))
@@ -83,3 +92,13 @@ def table_faults(rows: DataFrame, spec: TableSpec) -> DataFrame:
     return repeated.select(F.lit("repeated key").alias("fault"), "faults").unionByName(
         missing.select(F.lit("missing value").alias("fault"), "faults")
     )
+
+
+def faults_of_all(tables: dict[str, DataFrame]) -> DataFrame:
+    """Violations of the constraints of every table, by name."""
+    specs = {spec.name: spec for spec in schemas.TABLES}
+    found = [
+        table_faults(rows, specs[name]).select(F.lit(name).alias("table_name"), "fault", "faults")
+        for name, rows in tables.items()
+    ]
+    return reduce(DataFrame.unionByName, found)

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from collections.abc import Callable, Collection
+from dataclasses import dataclass
+from datetime import date, datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,13 +15,16 @@ from floodmark.operators import rates
 from floodmark.plans import flatten
 from floodmark.sources.landing import (
     ARRIVAL,
+    BATCH_DATE,
     Landing,
+    accepted,
     in_window,
+    of_class,
     page_completeness,
     page_elements,
     single_elements,
 )
-from floodmark.store import ALERT_MARK, MANAGED_OBJECT_MARK, Store
+from floodmark.store import ALERT_MARK, MANAGED_OBJECT_MARK, Listing, Store
 
 # History of the first load, and the longest window of a later one.
 INITIAL_DAYS = 30
@@ -27,6 +33,36 @@ UPDATE_MINUTES = 1440
 MITIGATION_ARRIVAL = [*ARRIVAL, "list_pos"]
 
 
+@dataclass(frozen=True)
+class Unseen:
+    """Documents of one kind in batches that were not loaded yet.
+
+    Only dates whose folders hold other files than at the last look are read, and of
+    them the batches that are not in the ledger.  When a batch landed, or when its
+    time was, plays no part.
+    """
+
+    kind: str
+    documents: DataFrame
+    listing: Listing
+
+    @property
+    def replies(self) -> DataFrame:
+        """Those that carry data."""
+        return accepted(self.documents)
+
+
+def unseen(store: Store, landing: Landing, kind: str, reader: str = "") -> Unseen:
+    """What a load has to look at; each ``reader`` has a ledger of its own."""
+    named = kind + reader
+    listing, known = landing.listing(kind), store.known_listing(named)
+    # Listed before anything is read: what lands meanwhile shows at the next look.
+    changed = {day: size for day, size in listing.items() if known.get(day) != size}
+    documents = landing.documents(kind, dates=list(changed))
+    loaded = store.loaded_batches(named)
+    return Unseen(named, documents.join(loaded, "batch_at", "left_anti"), changed)
+
+
 def initial_load(
     store: Store,
     landing: Landing,
@@ -39,11 +75,9 @@ def initial_load(
     Batches with gaps wait (see ``load_alerts``).  The mark moves only over
     complete input; the result says whether it did.
     """
-    alerts = in_window(collections(landing), now - timedelta(days=days))
-    complete = load_alerts(store, landing, alerts, now, wait=wait)
-    if complete:
-        store.set_mark(ALERT_MARK, now)
-    return complete
+    look = unseen(store, landing, "alerts")
+    alerts = in_window(page_elements(look.replies), now - timedelta(days=days))
+    return _load(store, landing, alerts, [look], now, wait)
 
 
 def incremental_load(
@@ -54,9 +88,11 @@ def incremental_load(
     and_ongoing: bool = False,
     wait: bool = True,
 ) -> bool:
-    """Load the alerts that started since the mark.
+    """Load the alerts of all batches not loaded yet that started since the mark.
 
-    While a batch has gaps the mark stays, so that the next load reads it again.
+    A batch older than the mark landed late: nothing of it was seen when the mark
+    moved, so its alerts count whenever they started.  While a batch has gaps the mark
+    stays.
 
     ``max_minutes`` clamps the window as a periodic job would; alerts older
     than that are then left out for good, so it is off unless asked for.
@@ -64,18 +100,24 @@ def incremental_load(
     documents of an alert the one landed last wins.
     """
     mark = store.mark(ALERT_MARK)
-    since = batches_since(mark)
-    alerts = in_window(collections(landing, since), window_start(mark, now, max_minutes))
+    looks = [unseen(store, landing, "alerts")]
+    alerts = since_mark(page_elements(looks[0].replies), mark)
+    if max_minutes is not None:
+        alerts = in_window(alerts, window_start(mark, now, max_minutes))
     if and_ongoing:
-        replies = single_elements(landing.accepted("alerts_by_id", since))
+        looks.append(unseen(store, landing, "alerts_by_id"))
         open_ids = ongoing_ids(store.alert.read()).unionByName(
             alerts.where("doc.attributes.ongoing").select(F.col("doc.id").cast("int").alias("id"))
         )
-        alerts = alerts.unionByName(with_ids(replies, open_ids))
-    complete = load_alerts(store, landing, alerts, now, since, wait)
-    if complete:
-        store.set_mark(ALERT_MARK, now)
-    return complete
+        alerts = alerts.unionByName(with_ids(single_elements(looks[1].replies), open_ids))
+    return _load(store, landing, alerts, looks, now, wait)
+
+
+def since_mark(alerts: DataFrame, mark: datetime) -> DataFrame:
+    """Denial-of-service alerts that started since the mark, and all of late batches."""
+    late = F.col("batch_at") < times.lookback(times.ntz(mark))
+    started = times.parse_ntz(F.col("doc.attributes.start_time"))
+    return of_class(alerts).where(late | (started > times.lookback(times.ntz(mark))))
 
 
 def window_start(mark: datetime, now: datetime, max_minutes: int | None) -> datetime:
@@ -87,17 +129,15 @@ def window_start_column(mark: Column, now: datetime, max_minutes: int) -> Column
     return F.greatest(mark, times.ntz(now - timedelta(minutes=max_minutes)))
 
 
-def batches_since(mark: datetime) -> datetime:
-    # A batch may have begun to land before the mark and ended after it.
-    return mark - times.LATE_ARRIVAL
-
+def refresh_ongoing(store: Store, landing: Landing, now: datetime) -> None:
+    """Re-read every alert stored as ongoing from its own document, so that it can close.
 
-def refresh_ongoing(
-    store: Store, landing: Landing, now: datetime, since: datetime | None = None
-) -> None:
-    """Re-read every alert stored as ongoing from its own document, so that it can close."""
-    replies = single_elements(landing.accepted("alerts_by_id", since))
-    load_alerts(store, landing, of_ongoing(replies, store.alert.read()), now, since)
+    Replies of batches that were read before are passed over, and a reply older than
+    the stored row changes nothing.
+    """
+    look = unseen(store, landing, "alerts_by_id")
+    replies = of_ongoing(single_elements(look.replies), store.alert.read())
+    _load(store, landing, replies, [look], now, wait=False, mark=None)
 
 
 def ongoing_ids(alerts: DataFrame) -> DataFrame:
@@ -114,19 +154,21 @@ def with_ids(documents: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def refresh_managed_objects(
-    store: Store,
-    landing: Landing,
-    now: datetime,
-    since: datetime | None = None,
-    wait: bool = True,
+    store: Store, landing: Landing, now: datetime, wait: bool = True
 ) -> bool:
-    """Upsert all landed managed objects; the mark stays while pages are missing."""
-    pages = landing.accepted("managed_objects", since)
-    objects = flatten.flatten_managed_objects(page_elements(pages), now)
-    store.managed_object.upsert(objects, ARRIVAL)
-    complete = not wait or missing_pages(pages).isEmpty()
+    """Upsert the managed objects of all batches not loaded yet.
+
+    Names are taken as they come; a batch that lacks pages is read again until it has
+    them, and the mark stays meanwhile.
+    """
+    look = unseen(store, landing, "managed_objects")
+    objects = flatten.flatten_managed_objects(page_elements(look.replies), now)
+    store.managed_object.upsert(objects, ARRIVAL, only_later=True)
+    pages = written(_pages(look), f"{store.root}/_staging/object_pages")
+    waiting = missing_pages(pages).select("batch_at")
+    complete = _record(store, [look], [pages], waiting, now) or not wait
     if complete:
-        store.set_mark(MANAGED_OBJECT_MARK, now)
+        store.advance_mark(MANAGED_OBJECT_MARK, now)
     return complete
 
 
@@ -143,10 +185,9 @@ def run_cycle(
         store.create()
     if store.needs_initial_load():
         initial_load(store, landing, now, days, wait)
-        refresh_managed_objects(store, landing, now, wait=wait)
+        refresh_managed_objects(store, landing, now, wait)
     else:
-        since = batches_since(store.mark(ALERT_MARK))
-        refresh_managed_objects(store, landing, now, since, wait)
+        refresh_managed_objects(store, landing, now, wait)
         incremental_load(store, landing, now, max_minutes, and_ongoing=True, wait=wait)
 
 
@@ -166,29 +207,158 @@ def load_alerts(
     """Upsert alerts and the mitigations they list; whether nothing had to wait.
 
     With ``wait``, batches with gaps (see ``gaps``) are left out until all of
-    them has landed; without it, what is there is loaded.
+    them has landed; without it, what is there is loaded.  The ledger is left alone.
+    """
+    staged = _staged(store, landing, alerts, since=since)
+    waiting = None
+    if wait:
+        found = gaps(landing.accepted("alerts", since), staged.alerts, staged.details)
+        waiting = written(found.select("batch_at").distinct(), f"{store.root}/_staging/waiting")
+    staged.upsert(store, waiting, now)
+    return waiting is None or waiting.isEmpty()
+
+
+@dataclass(frozen=True)
+class Staged:
+    """Alert documents and what a load needs beside them, written down.
 
-    Alerts go first and the caller moves the mark last: a load that breaks off
-    is simply repeated.  Alert documents are parsed once and written down, as
-    both tables are made from them.  So are the details, reduced to one per
-    mitigation: one shared by very many alerts then meets a plain scan, which
-    Spark broadcasts when it is small and otherwise splits by its skew handling.
+    Alert documents are parsed once, as both tables are made from them.  So are the
+    details, reduced to one per mitigation: one shared by very many alerts then meets a
+    plain scan, which Spark broadcasts when it is small and otherwise splits by its
+    skew handling.  Entries of rates are numbered: which of them count is settled
+    without their series, and the series of those join by the number.
     """
+
+    alerts: DataFrame
+    details: DataFrame
+    entries: DataFrame
+
+    def upsert(self, store: Store, waiting: DataFrame | None, now: datetime) -> None:
+        """Upsert the alerts of batches that do not wait; alerts go first.
+
+        A load that breaks off is simply repeated.  Rows that arrived later than the
+        documents at hand stay as they are.
+        """
+        alerts = self.alerts
+        if waiting is not None:
+            alerts = alerts.join(waiting, "batch_at", "left_anti")
+        store.alert.upsert(flatten.flatten_alerts(alerts, now), ARRIVAL, only_later=True)
+        entries = self.entries
+        pairs = with_documents(alerts, self.details, rates.merge_units(entries.drop("timeseries")))
+        store.upsert_mitigations(
+            flatten.narrow_mitigations(pairs, now),
+            MITIGATION_ARRIVAL,
+            only_later=True,
+            widen=lambda rows: flatten.with_series(rows, entries),
+        )
+
+
+def _staged(store, landing, alerts, since=None, dates=None) -> Staged:
     staging = f"{store.root}/_staging"
-    alerts = written(alerts, f"{staging}/documents")
-    details = written(
-        flatten.latest_details(landing.accepted("mitigations", since)), f"{staging}/details"
+    details = flatten.latest_details(landing.accepted("mitigations", since, dates))
+    return Staged(
+        written(alerts, f"{staging}/documents"),
+        written(details, f"{staging}/details"),
+        written(rates.without_series(landed_entries(landing, since, dates)), f"{staging}/entries"),
     )
+
+
+def _load(
+    store: Store,
+    landing: Landing,
+    alerts: DataFrame,
+    looks: list[Unseen],
+    now: datetime,
+    wait: bool,
+    mark: str | None = ALERT_MARK,
+) -> bool:
+    """Load alerts out of some batches, then enter the batches in the ledger and move the mark.
+
+    A batch with gaps waits, or is loaded as it is; either way it is not in the ledger
+    until all of it has landed, so the rest is loaded then.
+    """
+    pages, waiting = _load_seen(store, landing, alerts, looks, now, wait)
+    complete = _record(store, looks, pages, waiting, now) or not wait
+    if complete and mark is not None:
+        store.advance_mark(mark, now)
+    return complete
+
+
+def _load_seen(
+    store: Store,
+    landing: Landing,
+    alerts: DataFrame,
+    looks: list[Unseen],
+    now: datetime,
+    wait: bool,
+) -> tuple[list[DataFrame], DataFrame]:
+    """Upsert alerts; the pages seen of each kind, and the batches with gaps."""
+    staging = f"{store.root}/_staging"
+    pages = [written(_pages(look), f"{staging}/pages_{n}") for n, look in enumerate(looks)]
+    staged = _staged(store, landing, alerts, dates=_dates(pages))
+    found = gaps(reduce(DataFrame.unionByName, pages), staged.alerts, staged.details)
+    waiting = written(found.select("batch_at").distinct(), f"{staging}/waiting")
+    staged.upsert(store, waiting if wait else None, now)
+    return pages, waiting
+
+
+def load_batches(
+    store: Store,
+    landing: Landing,
+    kind: str,
+    batches: Collection[datetime],
+    elements: Callable[[DataFrame], DataFrame],
+    now: datetime,
+    reader: str = "",
+    wait: bool = True,
+) -> set[datetime]:
+    """Load those of some batches that are whole and not in the ledger; returns those with gaps.
+
+    Without ``wait`` batches with gaps are loaded too, and returned all the same.
+    """
+    if not batches:
+        return set()
+    dates = [None, *sorted({batch_at.date() for batch_at in batches})]
+    asked = landing.spark.createDataFrame([(b,) for b in sorted(batches)], "batch_at timestamp_ntz")
+    loaded = store.loaded_batches(kind + reader)
+    documents = landing.documents(kind, dates=dates).join(asked, "batch_at", "left_semi")
+    look = Unseen(kind + reader, documents.join(loaded, "batch_at", "left_anti"), {})
+    alerts = of_class(elements(look.replies))
+    pages, waiting = _load_seen(store, landing, alerts, [look], now, wait)
+    store.record_batches(look.kind, pages[0].join(waiting, "batch_at", "left_anti"), now)
+    return {row[0] for row in waiting.collect()}
+
+
+def _pages(look: Unseen) -> DataFrame:
+    """What tells whether the batches at hand are whole: one row per reply, without its data."""
+    replies = look.documents.where(F.col("data").isNotNull())
+    return replies.select("batch_at", BATCH_DATE, "page", "meta")
+
+
+def _dates(pages: list[DataFrame]) -> list[date | None]:
+    """The dates details and rates of some batches may lie under, and no date at all."""
+    days = reduce(DataFrame.unionByName, [p.select(BATCH_DATE, "batch_at") for p in pages])
+    days = days.select(F.explode(F.array(BATCH_DATE, F.to_date("batch_at"))).alias("day"))
+    found = {row["day"] for row in days.distinct().collect()}  # a row per day
+    return [None, *sorted(found - {None})]
+
+
+def _record(
+    store: Store, looks: list[Unseen], pages: list[DataFrame], waiting: DataFrame, now: datetime
+) -> bool:
+    """Enter whole batches in the ledger; whether no batch has to wait.
+
+    Dates that hold a waiting batch are looked at again in any case.
+    """
     complete = True
-    if wait:
-        found = gaps(landing.accepted("alerts", since), alerts, details)
-        waiting = written(found.select("batch_at").distinct(), f"{staging}/waiting")
-        complete = waiting.isEmpty()
-        if not complete:
-            alerts = alerts.join(waiting, "batch_at", "left_anti")
-    store.alert.upsert(flatten.flatten_alerts(alerts, now), ARRIVAL)
-    rows = mitigation_rows(alerts, details, landed_rates(landing, since), now)
-    store.alert_mitigations.upsert(rows, MITIGATION_ARRIVAL)
+    for look, seen in zip(looks, pages):
+        store.record_batches(look.kind, seen.join(waiting, "batch_at", "left_anti"), now)
+        held = seen.join(waiting, "batch_at", "left_semi").select(BATCH_DATE).distinct().collect()
+        again = {row[0] for row in held}
+        complete = complete and not again
+        store.remember_listing(
+            look.kind, {day: size for day, size in look.listing.items() if day not in again}
+        )
     return complete
 
 
@@ -221,20 +391,30 @@ def written(rows: DataFrame, path: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
-def landed_rates(landing: Landing, since: datetime | None = None) -> DataFrame:
-    return rates.all_rates(
-        landing.accepted("device_rates", since),
-        landing.accepted("flowspec_rates", since),
-        landing.accepted("blackhole_rates", since),
-    )
+def landed_entries(
+    landing: Landing, since: datetime | None = None, dates: list[date | None] | None = None
+) -> DataFrame:
+    """Entries of all landed rates."""
+    kinds = ("device_rates", "flowspec_rates", "blackhole_rates")
+    return rates.all_entries(*[landing.accepted(kind, since, dates) for kind in kinds])
+
+
+def landed_rates(landing: Landing) -> DataFrame:
+    """All landed rates by mitigation, series included."""
+    return rates.merge_units(landed_entries(landing))
+
+
+def with_documents(alerts: DataFrame, details: DataFrame, by_mitigation: DataFrame) -> DataFrame:
+    """The mitigations listed by the alerts, with their details and rates."""
+    pairs = flatten.with_details(flatten.mitigation_pairs(alerts), details)
+    return flatten.with_rates(pairs, by_mitigation)
 
 
 def mitigation_rows(
-    alerts: DataFrame, details: DataFrame, rates_by_mitigation: DataFrame, now: datetime
+    alerts: DataFrame, details: DataFrame, by_mitigation: DataFrame, now: datetime
 ) -> DataFrame:
     """Table rows of all mitigations listed by the alerts."""
-    pairs = flatten.with_details(flatten.mitigation_pairs(alerts), details)
-    return flatten.flatten_mitigations(flatten.with_rates(pairs, rates_by_mitigation), now)
+    return flatten.flatten_mitigations(with_documents(alerts, details, by_mitigation), now)
 
 
 def load_stats(alerts: DataFrame) -> DataFrame:

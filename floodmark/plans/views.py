@@ -91,13 +91,27 @@ def mitigation_totals(report: DataFrame) -> DataFrame:
     parts = [part(m, method) for pair in MEASURES for m in pair for method in METHODS]
     types = F.array_sort(F.collect_set("subtype_txt"))
     return report.groupBy("alert_id").agg(
-        types.alias("_types"), F.bool_or("is_automitigation").alias("_auto"), *parts
+        types.alias("types"),
+        F.bool_or("is_automitigation").alias("automitigation"),
+        F.count(F.lit(1)).alias("n_mitigations"),
+        *parts,
     )
 
 
+def kept_totals(mitigations: DataFrame, dims: Dimensions, key_range: str) -> DataFrame:
+    """The same for keeping, with the key ranges the mitigations were found in.
+
+    Mitigations of unknown methods add nothing, but their ranges count: a lookup row
+    may make them known.
+    """
+    ranges = mitigations.groupBy("alert_id").agg(F.collect_set(key_range).alias("key_ranges"))
+    totals = mitigation_totals(v_alert_mitigations(mitigations, dims))
+    return ranges.join(totals, "alert_id", "left")
+
+
 def mitigation_types() -> Column:
     """Sorted names of the methods used on an alert, or the label for none."""
-    return F.coalesce(F.col("_types"), F.array(F.lit(names.NO_MITIGATION)))
+    return F.coalesce(F.col("types"), F.array(F.lit(names.NO_MITIGATION)))
 
 
 def drop_totals() -> dict[str, Column]:
@@ -116,14 +130,20 @@ def alert_duration() -> Column:
     return F.coalesce(stop - start, times.round_to_second(seen) - times.round_to_second(start))
 
 
-def v_alert(alerts: DataFrame, mitigations: DataFrame, dims: Dimensions) -> DataFrame:
-    """The alert report: one row per alert of known importance and type."""
+def v_alert(
+    alerts: DataFrame, mitigations: DataFrame, dims: Dimensions, totals: DataFrame | None = None
+) -> DataFrame:
+    """The alert report: one row per alert of known importance and type.
+
+    With ``totals`` of the mitigations at hand, those are not read.
+    """
     importance = dims.importance.withColumnRenamed("id", "importance")
     alert_types = dims.alert_types.withColumnRenamed("id", "alert_type")
     owners = dims.managed_objects.select(
         F.col("id").alias("managed_object_id"), "managed_object_name"
     )
-    totals = mitigation_totals(v_alert_mitigations(mitigations, dims))
+    if totals is None:
+        totals = mitigation_totals(v_alert_mitigations(mitigations, dims))
     known = (
         alerts.join(importance, "importance")
         .join(alert_types, "alert_type")
@@ -143,7 +163,7 @@ def v_alert(alerts: DataFrame, mitigations: DataFrame, dims: Dimensions) -> Data
         "severity_percent", "severity_threshold", "severity_unit", "managed_object_id",
         F.coalesce("managed_object_name", F.lit(names.UNKNOWN_OBJECT)).alias("managed_object_name"),
         mitigation_types().alias("mitigation_types"),
-        F.coalesce("_auto", F.lit(False)).alias("automitigation"),
+        F.coalesce("automitigation", F.lit(False)).alias("automitigation"),
         F.col("alert_id").isNotNull().alias("mitigated"),
         *[total.alias(name) for name, total in drop_totals().items()],
         times.utc_instant(F.col("last_updated")).alias("last_updated"),
@@ -179,10 +199,14 @@ FILTER_LISTS = {
 
 
 def all_views(
-    alerts: DataFrame, mitigations: DataFrame, dims: Dimensions, state: DataFrame
+    alerts: DataFrame,
+    mitigations: DataFrame,
+    dims: Dimensions,
+    state: DataFrame,
+    totals: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """Every view by name."""
-    report = v_alert(alerts, mitigations, dims)
+    report = v_alert(alerts, mitigations, dims, totals)
     return {
         "v_alert_mitigations": v_alert_mitigations(mitigations, dims),
         "v_alert": report,

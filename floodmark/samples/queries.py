@@ -27,6 +27,7 @@ OLD_MARK = datetime(1999, 6, 1)
 INITIAL_DAYS = 2000
 CLAMP_MINUTES = 600 * 24 * 60
 EVENT_MARK = datetime(2024, 1, 10)
+LATE = datetime(2002, 3, 1)
 
 _queries: dict[str, Query] = {}
 
@@ -109,7 +110,7 @@ def _rate_columns() -> list:
         columns += [
             stat["average"].alias(f"{unit}_avg"),
             stat["max"].alias(f"{unit}_max"),
-            F.array_size(stat["timeseries"]).alias(f"{unit}_points"),
+            roles.points(stat["timeseries"]).alias(f"{unit}_points"),
             amounts.series_total(stat["timeseries"], stat["step"]).alias(f"{unit}_sum"),
             stat["timeseries_start"].alias(f"{unit}_start"),
             stat["step"].alias(f"{unit}_step"),
@@ -500,6 +501,22 @@ def v_alert(spark, sf_dir):
     return roles.presentable(roles.rounded(report(spark, sf_dir), list(views.TOTALS)))
 
 
+@query
+def v_alert__kept_totals(spark, sf_dir):
+    """The report of a store whose mitigations came in two loads, from the totals kept beside them."""
+    store = Store(spark, f"{documents.new_folder(spark)}/store")
+    store.create()
+    store.managed_object.upsert(roles.managed_objects(spark, sf_dir), ["last_updated"])
+    store.alert.upsert(roles.alerts(spark, sf_dir), ["last_updated"])
+    lines = roles.table(spark, sf_dir, "lineitem")
+    rows = roles.line_mitigations(lines, roles.LINE_ARRIVAL)
+    older = F.col("l_shipdate") < times.ntz(WINDOW_START)
+    for part in (older, ~older):
+        store.upsert_mitigations(rows.where(part), roles.LINE_ARRIVAL)
+    found = store.views()["v_alert"]
+    return roles.presentable(roles.rounded(found, list(views.TOTALS)))
+
+
 for _view, _column in views.FILTER_LISTS.items():
     _queries[_view] = lambda spark, sf_dir, column=_column: views.filter_list(
         report(spark, sf_dir), column
@@ -603,29 +620,93 @@ def _store_with(spark, rows: DataFrame, arrival: list[str]) -> Store:
     return store
 
 
-@query
-def initial_load(spark, sf_dir):
+def _initial(spark, sf_dir) -> Store:
     store = Store(spark, f"{documents.new_folder(spark)}/store")
     store.create()
     loads.initial_load(store, _landing(spark, sf_dir), NOW, INITIAL_DAYS)
+    return store
+
+
+@query
+def initial_load(spark, sf_dir):
+    store = _initial(spark, sf_dir)
     mark = times.ntz(store.mark(stores.ALERT_MARK))
     return roles.presentable(store.alert.read().withColumn("mark", mark))
 
 
 @query
-def incremental_load(spark, sf_dir):
-    """All alerts as first seen, then a load of the clamped window since an old mark."""
+def initial_load__mitigations(spark, sf_dir):
+    return roles.presentable(_initial(spark, sf_dir).alert_mitigations.read())
+
+
+def _incremental(spark, sf_dir) -> Store:
     store = _store_with(spark, _first_look(roles.alerts(spark, sf_dir)), ["last_updated"])
     store.set_mark(stores.ALERT_MARK, OLD_MARK)
     loads.incremental_load(store, _landing(spark, sf_dir), NOW, CLAMP_MINUTES)
-    return roles.presentable(store.alert.read())
+    return store
 
 
 @query
-def refresh_ongoing(spark, sf_dir):
+def incremental_load(spark, sf_dir):
+    """All alerts as first seen, then a load of the clamped window since an old mark."""
+    return roles.presentable(_incremental(spark, sf_dir).alert.read())
+
+
+@query
+def incremental_load__mitigations(spark, sf_dir):
+    return roles.presentable(_incremental(spark, sf_dir).alert_mitigations.read())
+
+
+def _refreshed(spark, sf_dir) -> Store:
     store = _store_with(spark, roles.alerts(spark, sf_dir), ["last_updated"])
     loads.refresh_ongoing(store, _landing(spark, sf_dir, "alerts_by_id"), NOW)
-    return roles.presentable(store.alert.read())
+    return store
+
+
+@query
+def refresh_ongoing(spark, sf_dir):
+    return roles.presentable(_refreshed(spark, sf_dir).alert.read())
+
+
+@query
+def refresh_ongoing__mitigations(spark, sf_dir):
+    return roles.presentable(_refreshed(spark, sf_dir).alert_mitigations.read())
+
+
+@query
+def load_ledger(spark, sf_dir):
+    """The ledger after all batches landed long after the mark had passed them, and a load more."""
+    store = Store(spark, f"{documents.new_folder(spark)}/store")
+    store.create()
+    store.set_mark(stores.ALERT_MARK, LATE.replace(month=2))
+    landing = _landing(spark, sf_dir)
+    for minutes in range(2):
+        loads.incremental_load(store, landing, LATE.replace(minute=minutes))
+    landed_documents = loads.collections(landing).groupBy("batch_at").agg(
+        F.count(F.lit(1)).alias("documents")
+    )
+    loaded_once = store.alert.read().where(F.col("last_updated") == times.ntz(LATE))
+    return store.ledger.read().drop("id").join(landed_documents, "batch_at").withColumn(
+        "alerts_stored", loaded_once.agg(F.count(F.lit(1))).scalar()
+    )
+
+
+@query
+def run_cycle(spark, sf_dir):
+    """Two rounds: the history, then what alerts still open say of themselves."""
+    store = Store(spark, f"{documents.new_folder(spark)}/store")
+    landing = documents.landing_of(
+        spark, sf_dir, "alerts", "alerts_by_id", "managed_objects", *_MITIGATION_KINDS
+    )
+    for day in (NOW, NOW.replace(day=3)):
+        loads.run_cycle(store, landing, day, INITIAL_DAYS)
+    customers = store.managed_object.read().where("last_updated > timestamp_ntz '2000-01-01'")
+    marks = {
+        "alerts_at": times.ntz(store.mark(stores.ALERT_MARK)),
+        "objects_at": times.ntz(store.mark(stores.MANAGED_OBJECT_MARK)),
+        "customers": customers.agg(F.count(F.lit(1))).scalar(),
+    }
+    return roles.presentable(store.alert.read().withColumns(marks))
 
 
 @query
@@ -717,3 +798,24 @@ def check_pages(spark, sf_dir):
         F.struct(F.struct(total.alias("totalPages")).alias("pagination")).alias("meta"),
     )
     return landed.page_completeness(pages)
+
+
+@query
+def verify_fresh(spark, sf_dir):
+    """A store filled from the samples against a fresh one."""
+    return checks.fresh_findings(_loaded_store(spark, sf_dir))
+
+
+@query
+def check_constraints(spark, sf_dir):
+    """Violations of the constraints of all seven tables, with repeated lines and landed pages."""
+    store = Store(spark, f"{documents.new_folder(spark)}/store")
+    store.create()
+    objects = landed.page_elements(_accepted(spark, sf_dir, "managed_objects"))
+    tables = {spec.name: store.table(spec) for spec in schemas.TABLES}
+    tables |= {
+        schemas.ALERT_TABLE.name: roles.alerts(spark, sf_dir),
+        schemas.MITIGATION_TABLE.name: roles.line_mitigations(roles.table(spark, sf_dir, "lineitem")),
+        schemas.MANAGED_OBJECT_TABLE.name: flatten.flatten_managed_objects(objects, NOW),
+    }
+    return checks.faults_of_all(tables)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from floodmark.operators.latest import latest_per_key
@@ -130,17 +130,23 @@ def managed_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def points(series: Column) -> Column:
+    """A series as text: every point in hundredths, a missing one as a dash."""
+    hundredths = F.transform(series, lambda x: F.round(x * 100).cast("bigint").cast("string"))
+    return F.array_join(hundredths, ",", "-")
+
+
 def presentable(rows: DataFrame) -> DataFrame:
     """The same rows in plain column types, for comparing across engines.
 
-    Lists of names become text, series the number of their points, intervals
+    Lists of names become text, series the text of their points, intervals
     seconds, instants UTC timestamps without zone and wide decimals longs.
     """
 
     def plain(name: str, kind: str):
         value = F.col(name)
         if kind == "array<double>":
-            return F.array_size(value)
+            return points(value)
         if kind.startswith("array"):
             return F.array_join(value.cast("array<string>"), ",")
         if kind.startswith("interval"):

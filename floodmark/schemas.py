@@ -37,6 +37,22 @@ OPERATIONAL_INFO = """
     id int NOT NULL, alert__last_update timestamp_ntz,
     managed_object__last_update timestamp_ntz, tables_revision smallint
 """
+# Batches that were loaded, by the kind of their documents.
+LOADED_BATCH = """
+    id string NOT NULL, kind string NOT NULL, batch_at timestamp_ntz NOT NULL,
+    loaded boolean NOT NULL, loaded_at timestamp_ntz
+"""
+# What the mitigations of an alert add up to, per measure and method, and the key ranges
+# that hold them.
+ALERT_TOTALS = """
+    alert_id int NOT NULL, n_mitigations bigint, types array<string>, automitigation boolean,
+    r_drop_bps_max_tms double, r_drop_bps_max_flowspec double, r_drop_bps_max_blackhole double,
+    r_drop_pps_max_tms double, r_drop_pps_max_flowspec double, r_drop_pps_max_blackhole double,
+    r_drop_bytes_tms decimal(29,0), r_drop_bytes_flowspec decimal(29,0),
+    r_drop_bytes_blackhole decimal(29,0),
+    r_drop_packets_tms double, r_drop_packets_flowspec double, r_drop_packets_blackhole double,
+    key_ranges array<bigint>
+"""
 
 
 @dataclass(frozen=True)
@@ -75,6 +91,12 @@ ALERT_TYPE_TABLE = TableSpec("mapper_alert_type", ALERT_TYPE, "id")
 SUBTYPE_TABLE = TableSpec("mapper_mitigation_subtype", MITIGATION_SUBTYPE, "subtype")
 STATE_TABLE = TableSpec("operational_info", OPERATIONAL_INFO, "id")
 
+# The ledger and the kept totals stand beside the tables reports read; they are not of them.
+TOTALS_TABLE = TableSpec("alert_totals", ALERT_TOTALS, "alert_id", "alert_id")
+LEDGER_TABLE = TableSpec(
+    "loaded_batch", LOADED_BATCH, "id", "cast(replace(substring(id, 1, 10), '-', '') as bigint)"
+)
+
 TABLES = (
     ALERT_TABLE,
     MITIGATION_TABLE,

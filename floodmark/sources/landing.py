@@ -6,8 +6,9 @@ Folders may be partitioned by ``batch_date=YYYY-MM-DD`` (the date of
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,6 +17,7 @@ from pyspark.sql import types as T
 
 from floodmark import schemas
 from floodmark.functions import times
+from floodmark.sources import folders
 
 BATCH_DATE = "batch_date"
 CORRUPT = "_corrupt_record"
@@ -44,16 +46,26 @@ class Landing:
     def folder(self, kind: str) -> str:
         return f"{self.root}/{kind}"
 
+    def make_folder(self, kind: str) -> None:
+        """Have the folder of a kind, as a stream must find it there."""
+        folders.make(self.spark, self.folder(kind))
+
     def schema(self, kind: str) -> T.StructType:
         """Fields of a kind, with the partition date and the text of broken lines."""
         fields = T.StructType.fromDDL(DOCUMENTS[kind])
         return fields.add(BATCH_DATE, "date").add(CORRUPT, "string")
 
-    def documents(self, kind: str, since: datetime | None = None) -> DataFrame:
+    def documents(
+        self,
+        kind: str,
+        since: datetime | None = None,
+        dates: Collection[date | None] | None = None,
+    ) -> DataFrame:
         """All replies of a kind, broken and refused ones included.
 
-        ``since`` keeps batches landed at that time or later.  A folder that
-        was never landed reads as empty.
+        ``since`` keeps batches landed at that time or later, ``dates`` the folders of
+        some dates (None for files outside of any).  A folder that was never landed
+        reads as empty.
         """
         schema = self.schema(kind)
         try:
@@ -62,11 +74,43 @@ class Landing:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             found = self.spark.createDataFrame([], schema)
-        return with_batch_time(found if since is None else found.where(landed_since(since)))
-
-    def accepted(self, kind: str, since: datetime | None = None) -> DataFrame:
+        if since is not None:
+            found = found.where(landed_since(since))
+        if dates is not None:
+            found = found.where(landed_on(dates))
+        return with_batch_time(found)
+
+    def accepted(
+        self,
+        kind: str,
+        since: datetime | None = None,
+        dates: Collection[date | None] | None = None,
+    ) -> DataFrame:
         """Replies that carry data; refused and broken ones contribute nothing."""
-        return accepted(self.documents(kind, since))
+        return accepted(self.documents(kind, since, dates))
+
+    def listing(self, kind: str) -> dict[date | None, tuple[int, int]]:
+        """Files and bytes of each date's folder; None stands for files outside of any."""
+        found: dict[date | None, tuple[int, int]] = {}
+        for one in folders.entries(self.spark, self.folder(kind)):
+            day, size = None, (1, one.size)
+            if one.is_folder:
+                name, _, value = one.name.partition("=")
+                size = folders.content(self.spark, f"{self.folder(kind)}/{one.name}")
+                try:
+                    day = date.fromisoformat(value) if name == BATCH_DATE else None
+                except ValueError:
+                    day = None
+            files, length = found.get(day, (0, 0))
+            found[day] = (files + size[0], length + size[1])
+        return found
+
+
+def landed_on(dates: Collection[date | None]) -> Column:
+    """Batches in the folders of some dates; files outside of any count as None."""
+    days = [F.lit(day) for day in dates if day is not None]
+    undated = F.lit(None in dates) & F.col(BATCH_DATE).isNull()
+    return F.col(BATCH_DATE).isin(days) | undated if days else undated
 
 
 def landed_since(since: datetime) -> Column:

@@ -1,6 +1,9 @@
+from datetime import datetime
+
 import pytest
 
 from floodmark import schemas
+from floodmark.operators.constraints import ConstraintError, write_checked
 from floodmark.plans import checks
 
 
@@ -34,3 +37,28 @@ def test_counts_against_expectation(spark, bad):
     with pytest.raises(ValueError):
         checks.require(checks.compare_counts(counts, expected))
     checks.require(checks.compare_counts(counts, expected.where("table_name = 'bad'")))
+
+
+def test_writes_report_what_they_must_not_hold(spark, store):
+    store.create()
+    ddl = schemas.LEDGER_TABLE.ddl.replace(" NOT NULL", "")
+    at = datetime(2024, 1, 1)
+    rows = spark.createDataFrame(
+        [("2024-01-01 a", "a", at, True, at), ("2024-01-01 b", None, at, None, at)], ddl
+    )
+    with pytest.raises(ConstraintError, match="loaded_batch: null kind in 1 rows, null loaded in 1 rows"):
+        store.ledger.upsert(rows, ["loaded_at"])
+    assert store.ledger.read().isEmpty()
+    with pytest.raises(ConstraintError, match="mapper_mitigation_subtype: null subtype_txt in 1 rows"):
+        write_checked(
+            spark.createDataFrame([("x", None)], "subtype string, subtype_txt string"),
+            schemas.SUBTYPE_TABLE,
+            lambda r: r.write.format("noop").mode("overwrite").save(),
+        )
+
+
+def test_constraints_of_all_tables(store):
+    store.create()
+    tables = {spec.name: store.table(spec) for spec in schemas.TABLES}
+    found = checks.faults_of_all(tables).collect()
+    assert len(found) == 2 * len(schemas.TABLES) and all(row["faults"] in (0, None) for row in found)

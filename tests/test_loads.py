@@ -176,3 +176,98 @@ def test_gaps_can_be_accepted(store, landing):
     put(landing, "alerts", page(alert(1, ["tms-1"])))
     assert loads.initial_load(store, landing, NOW, wait=False) is True
     assert set(by_id(store.alert.read())) == {1}
+
+
+def test_a_batch_ten_hours_late_is_loaded_once(store, landing):
+    store.create()
+    put(landing, "alerts", page(alert(1), batch=NOW.isoformat()), date=str(NOW.date()))
+    assert loads.initial_load(store, landing, NOW) is True
+    later = NOW + timedelta(hours=12)
+    put(landing, "alerts", page(alert(2, start_time=stamp(later)), batch=later.isoformat()),
+        name="second", date=str(later.date()))
+    assert loads.incremental_load(store, landing, later) is True
+    # Fetched two hours after the first batch, landed ten hours later, with an old alert.
+    late = (NOW + timedelta(hours=2)).isoformat()
+    put(landing, "alerts", page(alert(3, ["tms-3"], start_time=stamp(NOW - timedelta(days=3))), batch=late),
+        name="late", date=str(NOW.date()))
+    put(landing, "mitigations", detail("tms-3", 3, batch=late), name="late", date=str(NOW.date()))
+    assert loads.incremental_load(store, landing, later + timedelta(minutes=1)) is True
+    assert set(by_id(store.alert.read())) == {1, 2, 3}
+    assert set(by_id(store.alert_mitigations.read())) == {"3_tms-3"}
+    stamps = {i: r["last_updated"] for i, r in by_id(store.alert.read()).items()}
+    assert loads.incremental_load(store, landing, later + timedelta(minutes=2)) is True
+    assert {i: r["last_updated"] for i, r in by_id(store.alert.read()).items()} == stamps
+
+
+def test_a_late_page_of_managed_objects_is_loaded(store, landing):
+    first = managed_objects((500, "Mine"))
+    first["meta"] = {"pagination": {"totalPages": 2}}
+    put(landing, "managed_objects", first)
+    put(landing, "alerts", page(alert(1), batch=NOW.isoformat()))
+    loads.run_cycle(store, landing, NOW)
+    loads.run_cycle(store, landing, NOW + timedelta(days=1))
+    assert store.needs_initial_load()
+    assert by_id(store.managed_object.read())[500]["managed_object_name"] == "Mine"
+    second = {**managed_objects((501, "Late")), "page": 2, "meta": {"pagination": {"totalPages": 2}}}
+    put(landing, "managed_objects", second, name="late")
+    now = NOW + timedelta(days=2)
+    loads.run_cycle(store, landing, now)
+    names = by_id(store.managed_object.read())
+    assert names[501]["managed_object_name"] == "Late"
+    assert store.mark(stores.MANAGED_OBJECT_MARK) == now
+    loads.run_cycle(store, landing, now + timedelta(days=1))
+    assert by_id(store.managed_object.read())[501]["last_updated"] == now
+
+
+def test_dates_without_new_files_are_not_read_again(store, landing):
+    store.create()
+    for day in ("2024-05-01", "2024-05-02"):
+        batch = f"{day}T06:00:00"
+        put(landing, "alerts", page(alert(int(day[-2:])), batch=batch), date=day)
+    loads.initial_load(store, landing, NOW)
+    assert loads.unseen(store, landing, "alerts").listing == {}
+    put(landing, "alerts", page(alert(9), batch="2024-05-01T07:00:00"), name="late", date="2024-05-01")
+    look = loads.unseen(store, landing, "alerts")
+    assert [str(day) for day in look.listing] == ["2024-05-01"]
+    assert {r["batch_at"].hour for r in look.replies.collect()} == {7}
+    # A batch with gaps keeps its own date open, and no other.
+    put(landing, "alerts", page(alert(5, ["tms-5"]), batch="2024-05-02T08:00:00"), name="gap", date="2024-05-02")
+    assert loads.incremental_load(store, landing, NOW) is False
+    assert [str(day) for day in loads.unseen(store, landing, "alerts").listing] == ["2024-05-02"]
+
+
+def test_a_mark_moved_back_opens_its_batches_again(store, landing):
+    store.create()
+    put(landing, "alerts", page(alert(1, start_time=stamp(NOW)), batch=NOW.isoformat()))
+    loads.initial_load(store, landing, NOW)
+    later = NOW + timedelta(hours=1)
+    loads.incremental_load(store, landing, later)
+    assert by_id(store.alert.read())[1]["last_updated"] == NOW
+    store.set_mark(stores.ALERT_MARK, NOW - timedelta(hours=1))
+    loads.incremental_load(store, landing, later)
+    assert by_id(store.alert.read())[1]["last_updated"] == later
+
+
+def test_an_older_reply_leaves_the_newer_row(store, landing):
+    store.create()
+    batch = (NOW - timedelta(hours=1)).isoformat()
+    put(landing, "alerts", page(alert(1, ongoing=True, stop_time=None, classification="page"), batch=batch))
+    loads.initial_load(store, landing, NOW)
+    put(landing, "alerts_by_id",
+        {"batch_at": (NOW - timedelta(hours=2)).isoformat(), "data": alert(1, classification="older")})
+    loads.refresh_ongoing(store, landing, NOW)
+    assert by_id(store.alert.read())[1]["classification"] == "page"
+    put(landing, "alerts_by_id",
+        {"batch_at": NOW.isoformat(), "data": alert(1, classification="newer")}, name="second")
+    loads.refresh_ongoing(store, landing, NOW)
+    row = by_id(store.alert.read())[1]
+    assert row["classification"] == "newer" and not row["ongoing"]
+
+
+def test_accepted_gaps_are_filled_later(store, landing):
+    store.create()
+    put(landing, "alerts", page(alert(1, ["tms-1"])))
+    assert loads.initial_load(store, landing, NOW, wait=False) is True
+    put(landing, "mitigations", detail("tms-1", 1))
+    assert loads.incremental_load(store, landing, NOW + timedelta(hours=1), wait=False) is True
+    assert set(by_id(store.alert_mitigations.read())) == {"1_tms-1"}
