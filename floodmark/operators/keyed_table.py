@@ -89,20 +89,15 @@ class KeyedTable:
 
     def create(self, rows: DataFrame | None = None) -> None:
         """Make the table anew with the given rows or none, dropping whatever it held."""
-        if rows is None:
-            rows = self.spark.createDataFrame([], self.spec.schema)
         self._log.reset([])
-        # All of it goes, also where the session replaces single partitions only.
-        first = self._ranged(rows, []).withColumn(VERSION, F.lit(1).cast("bigint"))
-        write_checked(
-            first,
-            self.spec,
-            lambda r: r.write.option("partitionOverwriteMode", "static")
-            .mode("overwrite")
-            .partitionBy(RANGE, VERSION)
-            .parquet(self.path),
-        )
-        held = folders.entries(self.spark, self.path)
+        folders.remove(self.spark, self.path)
+        held = []
+        if rows is not None:
+            first = self._ranged(rows, []).withColumn(VERSION, F.lit(1).cast("bigint"))
+            write_checked(
+                first, self.spec, lambda r: r.write.partitionBy(RANGE, VERSION).parquet(self.path)
+            )
+            held = folders.entries(self.spark, self.path)
         ranges = {int(one.name.split("=")[1]): {1: set()} for one in held if one.is_folder}
         self._put_in_use(InUse(1, ranges))
 
@@ -128,13 +123,13 @@ class KeyedTable:
         arrival: Sequence[str],
         only_later: bool = False,
         widen: Callable[[DataFrame], DataFrame] = lambda rows: rows,
-    ) -> Change:
+    ) -> Change | None:
         """Replace or add whole rows by key; the last arrival of a key wins.
 
         With ``only_later`` that holds for stored rows too: a row of the batch gives
         way to a stored one that arrived after it.  Repeating an upsert changes
         nothing.  ``widen`` adds columns to the rows that win within the batch, so that
-        wide ones take no part in choosing them.
+        wide ones take no part in choosing them.  Returns none for an empty batch.
 
         Keys and places of stored rows in the batch's ranges meet the batch first; Spark
         broadcasts a small batch there.  Then the files that hold some of its keys are
@@ -147,7 +142,7 @@ class KeyedTable:
         hit: dict[int, Parts] = {}
         fresh, kept, replaced = staged, None, None
         if not touched:
-            return Change(staged, None)
+            return None
         if there.ranges:
             met = self._met(staged, there)
             places = met.select(RANGE, VERSION, FILE, "stale").distinct().collect()

@@ -165,7 +165,7 @@ def refresh_managed_objects(
     objects = flatten.flatten_managed_objects(page_elements(look.replies), now)
     store.managed_object.upsert(objects, ARRIVAL, only_later=True)
     pages = written(_pages(look), f"{store.root}/_staging/object_pages")
-    waiting = missing_pages(pages).select("batch_at")
+    waiting = _batches(missing_pages(pages))
     complete = _record(store, [look], [pages], waiting, now) or not wait
     if complete:
         store.advance_mark(MANAGED_OBJECT_MARK, now)
@@ -210,12 +210,12 @@ def load_alerts(
     them has landed; without it, what is there is loaded.  The ledger is left alone.
     """
     staged = _staged(store, landing, alerts, since=since)
-    waiting = None
+    waiting = set()
     if wait:
         found = gaps(landing.accepted("alerts", since), staged.alerts, staged.details)
-        waiting = written(found.select("batch_at").distinct(), f"{store.root}/_staging/waiting")
+        waiting = _batches(found)
     staged.upsert(store, waiting, now)
-    return waiting is None or waiting.isEmpty()
+    return not waiting
 
 
 @dataclass(frozen=True)
@@ -233,15 +233,13 @@ class Staged:
     details: DataFrame
     entries: DataFrame
 
-    def upsert(self, store: Store, waiting: DataFrame | None, now: datetime) -> None:
+    def upsert(self, store: Store, waiting: set[datetime], now: datetime) -> None:
         """Upsert the alerts of batches that do not wait; alerts go first.
 
         A load that breaks off is simply repeated.  Rows that arrived later than the
         documents at hand stay as they are.
         """
-        alerts = self.alerts
-        if waiting is not None:
-            alerts = alerts.join(waiting, "batch_at", "left_anti")
+        alerts = without_batches(self.alerts, waiting)
         store.alert.upsert(flatten.flatten_alerts(alerts, now), ARRIVAL, only_later=True)
         entries = self.entries
         pairs = with_documents(alerts, self.details, rates.merge_units(entries.drop("timeseries")))
@@ -291,17 +289,30 @@ def _load_seen(
     looks: list[Unseen],
     now: datetime,
     wait: bool,
-) -> tuple[list[DataFrame], DataFrame]:
+) -> tuple[list[DataFrame], set[datetime]]:
     """Upsert alerts; the pages seen of each kind, and the batches with gaps."""
     staging = f"{store.root}/_staging"
     pages = [written(_pages(look), f"{staging}/pages_{n}") for n, look in enumerate(looks)]
     staged = _staged(store, landing, alerts, dates=_dates(pages))
     found = gaps(reduce(DataFrame.unionByName, pages), staged.alerts, staged.details)
-    waiting = written(found.select("batch_at").distinct(), f"{staging}/waiting")
-    staged.upsert(store, waiting if wait else None, now)
+    waiting = _batches(found)
+    staged.upsert(store, waiting if wait else set(), now)
     return pages, waiting
 
 
+def _batches(found: DataFrame) -> set[datetime]:
+    """Times of the batches in a frame: as many as there were fetches, at most."""
+    return {row[0] for row in found.select("batch_at").distinct().collect()}
+
+
+def without_batches(rows: DataFrame, batches: set[datetime]) -> DataFrame:
+    return rows.where(~_in_batches(batches)) if batches else rows
+
+
+def _in_batches(batches: set[datetime]) -> Column:
+    return F.col("batch_at").isin([times.ntz(batch) for batch in sorted(batches)])
+
+
 def load_batches(
     store: Store,
     landing: Landing,
@@ -325,8 +336,8 @@ def load_batches(
     look = Unseen(kind + reader, documents.join(loaded, "batch_at", "left_anti"), {})
     alerts = of_class(elements(look.replies))
     pages, waiting = _load_seen(store, landing, alerts, [look], now, wait)
-    store.record_batches(look.kind, pages[0].join(waiting, "batch_at", "left_anti"), now)
-    return {row[0] for row in waiting.collect()}
+    store.record_batches(look.kind, without_batches(pages[0], waiting), now)
+    return waiting
 
 
 def _pages(look: Unseen) -> DataFrame:
@@ -344,22 +355,22 @@ def _dates(pages: list[DataFrame]) -> list[date | None]:
 
 
 def _record(
-    store: Store, looks: list[Unseen], pages: list[DataFrame], waiting: DataFrame, now: datetime
+    store: Store, looks: list[Unseen], pages: list[DataFrame], waiting: set[datetime], now: datetime
 ) -> bool:
     """Enter whole batches in the ledger; whether no batch has to wait.
 
     Dates that hold a waiting batch are looked at again in any case.
     """
-    complete = True
     for look, seen in zip(looks, pages):
-        store.record_batches(look.kind, seen.join(waiting, "batch_at", "left_anti"), now)
-        held = seen.join(waiting, "batch_at", "left_semi").select(BATCH_DATE).distinct().collect()
-        again = {row[0] for row in held}
-        complete = complete and not again
+        if not look.listing:
+            continue
+        store.record_batches(look.kind, without_batches(seen, waiting), now)
+        held = seen.where(_in_batches(waiting)) if waiting else None
+        again = {row[0] for row in held.select(BATCH_DATE).distinct().collect()} if waiting else set()
         store.remember_listing(
             look.kind, {day: size for day, size in look.listing.items() if day not in again}
         )
-    return complete
+    return not waiting
 
 
 def gaps(pages: DataFrame, alerts: DataFrame, details: DataFrame) -> DataFrame:

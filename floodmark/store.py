@@ -202,11 +202,11 @@ class Store:
         """Upsert mitigations, and renew the totals of the alerts they belong or belonged to."""
         followed = self.totals() is not None
         change = self.alert_mitigations.upsert(rows, arrival, only_later, widen)
-        if followed:
+        if not followed:
+            self.rebuild_totals()
+        elif change is not None:
             self._renew_totals(change)
             self._follow()
-        else:
-            self.rebuild_totals()
 
     def rebuild_totals(self) -> None:
         """Make the totals of all alerts anew, as after a change of lookup rows."""
