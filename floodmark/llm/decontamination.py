@@ -271,9 +271,9 @@ def find_contamination(
     found = docs.sparkSession.createDataFrame([], _MATCHES)
     for n in range(blocks):
         mine = wanted.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)) == n)
-        rows = mine.orderBy("doc_id", "text").toPandas()
-        if len(rows):
-            items = Items([None if x != x else int(x) for x in rows["doc_id"]], rows["text"].tolist())
+        rows = mine.orderBy("doc_id", "text").toArrow()
+        if rows.num_rows:
+            items = Items(rows["doc_id"].to_pylist(), rows["text"].to_pylist())
             found = found.union(matches(texts, items, threshold))
     return found
 

@@ -20,7 +20,6 @@ import json
 import zlib
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
@@ -147,15 +146,17 @@ def pack(
     groups = max(1, round(found.count() / GROUP_PIECES))
     dealt = found.withColumn("grp", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(groups)))
 
-    def fill(rows: pd.DataFrame) -> pd.DataFrame:
+    def fill(rows: pa.Table) -> pa.Table:
         # Large ones first; among equals an order that any rerun repeats.
-        rows = rows.sort_values(["length", "doc_id", "piece", "ids_crc32"], ascending=[False, True, True, True])
+        order = [("length", "descending"), *[(c, "ascending") for c in ("doc_id", "piece", "ids_crc32")]]
+        rows = rows.sort_by(order)
         sequence, offset = sum_of_squares(rows["length"].to_numpy(), capacity)
         number = (sequence * groups + rows["grp"].to_numpy()).astype(np.int64)
-        return rows.drop(columns="grp").assign(sequence_id=number, offset=offset)
+        rows = rows.append_column("sequence_id", pa.array(number))
+        return rows.append_column("offset", pa.array(offset)).drop_columns(["grp"])
 
     out = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
-    return dealt.groupBy("grp").applyInPandas(fill, out)
+    return dealt.groupBy("grp").applyInArrow(fill, out)
 
 
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
