@@ -88,11 +88,10 @@ def brute_force(texts):
     return {n: find(n) for n in texts}
 
 
-@pytest.mark.parametrize("split_above, most_bands", [(256, 3), (8, 3), (40, 1)])
-def test_a_bucket_of_unlike_members(spark, monkeypatch, split_above, most_bands):
+@pytest.mark.parametrize("pivots", [512, 40])
+def test_a_bucket_of_unlike_members(spark, monkeypatch, pivots):
     """Three quarters of every text is common to all: similar, but never enough; some are copies besides."""
-    monkeypatch.setattr(near_dedup, "SPLIT_ABOVE", split_above)
-    monkeypatch.setattr(near_dedup, "MOST_BANDS", most_bands)
+    monkeypatch.setattr(near_dedup, "PIVOTS", pivots)
     common = words(60)
     texts = {n: " ".join(common + words(20)) for n in range(150)}
     for n in range(150, 180):
