@@ -5,6 +5,7 @@ from pathlib import Path
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from floodmark import schemas
 from floodmark.operators import keyed_table, revisions
@@ -203,3 +204,27 @@ def test_a_log_keeps_its_last_revisions(spark, tmp_path):
     assert log.take() == ([1999], 1999) and len(log.all()) == KEPT
     log.reset([7])
     assert log.all() == [[7]]
+
+
+def test_derived_columns_are_made_as_rows_are_written(spark, table):
+    def lines(*rows):
+        return spark.createDataFrame([(i, part, seq) for seq, (i, part) in enumerate(rows)], "id int, part int, seq int")
+
+    derive = {"managed_object_name": F.concat(F.lit("part "), "part"), "last_updated": F.lit(AT).cast("timestamp_ntz")}
+    table.upsert(lines((1, 1), (1, 2), (25, 3), (2, 4)), ["seq"], derive=derive)
+    staged = spark.read.parquet(table.staging_path).columns
+    assert "part" in staged and "managed_object_name" not in staged
+    change = table.upsert(lines((2, 5), (3, None)), ["seq"], derive=derive)
+    assert names(table) == {1: "part 2", 2: "part 5", 3: None, 25: "part 3"}
+    assert {r["id"]: r["managed_object_name"] for r in change.stored.collect()} == {2: "part 5", 3: None}
+    assert [r["managed_object_name"] for r in change.replaced.collect()] == ["part 4"]
+
+
+def test_missing_derived_values_fail(spark, tmp_path):
+    made = KeyedTable(spark, str(tmp_path), schemas.LEDGER_TABLE)
+    made.create()
+    entries = spark.sql("select '2024-01-01 00:00:00 alerts' as id, 3 as seq, cast(null as string) as of")
+    given = {"kind": F.col("of"), "batch_at": F.lit(AT), "loaded": F.lit(True), "loaded_at": F.lit(AT)}
+    with pytest.raises(Exception, match="null kind"):
+        made.upsert(entries, ["seq"], derive=given)
+    assert made.read().count() == 0
