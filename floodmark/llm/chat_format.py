@@ -3,8 +3,9 @@ r"""Conversations as training examples: one for every assistant turn.
 Prefix-target expansion: an assistant turn becomes an example of its own, with all
 turns before it as context and only its own text under the loss mask.  The context
 of an example is the beginning of its conversation, which its later examples share,
-so an example is stored as what it adds to the one before it; ``example_texts``
-writes examples out whole, which takes the square of a conversation's length.
+so an example is stored as what it adds to the one before it.  ``example_texts``
+expands them: every example with its whole context, which takes the square of a
+conversation's length in time.  What is read back is read from those.
 
 A turn reads ``<|im_start|>role\ntext<|im_end|>\n``.  Texts get one more backslash
 inside every ``<``, backslashes, ``|``, so no mark of the template can stand in
@@ -17,9 +18,9 @@ are one conversation.  A role other than ``assistant`` is context.  Turns behind
 last assistant turn come as an example without target, so that nothing is lost.
 No rows give no examples.  Extra columns are not read.
 
-A conversation is one stream through one task, as a digest of it has to be, but
-never held there: a row of the result adds at most ``PART_CHARS`` characters or one
-turn.
+A conversation is one stream through one task, as a digest of it has to be.  Stored
+parts add at most ``PART_CHARS`` characters or one turn each; the expansion holds the
+few examples it is at, and so does who reads them.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from itertools import groupby
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -188,41 +190,43 @@ def in_order(parts: DataFrame) -> DataFrame:
 
 
 _PART_COLUMNS = "conv_id example begin added loss_begin loss_end last"
-
-
-def _digested(parts: Iterator[tuple]) -> Iterator[tuple]:
-    begun = False
-    for conv_id, example, begin, added, loss_begin, loss_end, last in parts:
-        if not begun:
-            turns, loss, n, loss_chars, formatted, examples = (
-                hashlib.sha256(), hashlib.sha256(), 0, 0, 0, 0,
-            )
-            begun = True
-        for role, text in _TURN.findall(added):
-            turns.update(f"{unescape_role(role)}\n{unescape(text)}\n".encode())
+_EXAMPLE_COLUMNS = "conv_id text loss_begin loss_end"
+
+
+def _digested(examples: Iterator[tuple]) -> Iterator[tuple]:
+    for conv_id, rows in groupby(examples, key=lambda row: row[0]):
+        loss, loss_chars, formatted, n_examples = hashlib.sha256(), 0, 0, 0
+        for _, text, loss_begin, loss_end in rows:
+            formatted += len(text)
+            n_examples += 1
+            if loss_begin is not None:
+                target = unescape(text[loss_begin:loss_end])
+                loss.update(target.encode())
+                loss_chars += len(target)
+        # The last example holds all turns of its conversation.
+        turns, n = hashlib.sha256(), 0
+        for found in _TURN.finditer(text):
+            turns.update(f"{unescape_role(found[1])}\n{unescape(found[2])}\n".encode())
             n += 1
-        if loss_begin is not None:
-            target = unescape(added[loss_begin - begin : loss_end - begin])
-            loss.update(target.encode())
-            loss_chars += len(target)
-        if example is not None:
-            formatted += begin + len(added)
-            examples += 1
-        if last:
-            yield conv_id, n, turns.hexdigest(), loss_chars, loss.hexdigest(), formatted, examples
-            begun = False
+        yield conv_id, n, turns.hexdigest(), loss_chars, loss.hexdigest(), formatted, n_examples
 
 
 def read_back(parts: DataFrame) -> DataFrame:
-    """What the examples of each conversation say: its turns, and all text under the loss mask.
+    """What the examples of each conversation say, written out whole and read again."""
+    return read_examples(example_texts(parts))
+
+
+def read_examples(examples: DataFrame) -> DataFrame:
+    """Of each conversation its turns, and all text under the loss mask.
 
-    ``formatted_chars`` counts every example with its whole context.
+    ``examples`` are whole, in order, a conversation in one partition, as
+    ``example_texts`` gives them.  ``formatted_chars`` counts all of their text.
     """
 
     def run(batches):
-        yield from _batches(_digested(_rows(batches, _PART_COLUMNS)), DIGESTS, None)
+        yield from _batches(_digested(_rows(batches, _EXAMPLE_COLUMNS)), DIGESTS, None)
 
-    return parts.mapInArrow(run, DIGESTS)
+    return examples.mapInArrow(run, DIGESTS)
 
 
 def _written_out(parts: Iterator[tuple]) -> Iterator[tuple]:

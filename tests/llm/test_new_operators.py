@@ -341,6 +341,21 @@ def test_a_conversation_that_is_a_third_of_all_rows(spark):
     assert found[0]["loss_chars"] == sum(len(t[3]) for t in long[1::2])
 
 
+def test_digests_are_read_from_whole_examples(spark):
+    turns = [(1, n, who, f"turn {n}") for n, who in enumerate(["user", "assistant", "user", "assistant"])]
+    examples = chat_format.example_texts(chat_format.expand(conversations(spark, turns)))
+    whole = table(chat_format.read_examples(examples))[0]
+    assert whole["formatted_chars"] == sum(len(r["text"]) for r in examples.collect())
+    # A longer context counts, and a turn that reads otherwise shows.
+    other = F.when(F.col("example") == 0, F.concat("text", F.lit("more"))).otherwise(
+        F.replace("text", F.lit("turn 2"), F.lit("turn 7"))
+    )
+    changed = table(chat_format.read_examples(examples.withColumn("text", other)))[0]
+    assert changed["formatted_chars"] == whole["formatted_chars"] + 4
+    assert changed["turns_sha256"] != whole["turns_sha256"]
+    assert changed["loss_sha256"] == whole["loss_sha256"]
+
+
 TEXTS = st.text(st.sampled_from("<|\\>\nim_endstart a"), max_size=40)
 
 
