@@ -23,7 +23,10 @@ All of it is DataFrame code on built-in functions.
    Of a notice repeated without a blank line between, the last place is reported.
 
 A line without any telling word can neither be named nor confirmed, so those are
-left out before their features are built.  Whole texts of all documents are read.
+left out before their features are built.  What holds a share of a notice holds at
+least one of its key pairs, so texts and lines without any are left out before they
+are compared with all notices.  Both are told by one search of the text, without
+splitting it into words.  Whole texts of all documents are read.
 
 Null and empty texts have no paragraphs.  Repeated rows are reported alike, once
 for each row; a null id stays null.  An empty table gives no rows.
@@ -31,6 +34,8 @@ for each row; a null id stays null.  An empty table gives no rows.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -126,6 +131,58 @@ def _telling(pair: str, telling: set[str]) -> bool:
     return not telling.isdisjoint(pair.split())
 
 
+def _strong_pairs() -> list[str]:
+    telling = set(telling_words())
+    return sorted({p for _, t in NOTICES for p in _pairs(t) if telling.issuperset(p.split())})
+
+
+def key_pairs(share: float) -> list[str] | None:
+    """So many telling pairs of each notice that a text without any of them has not ``share`` of it.
+
+    Pairs of two telling words come first, as others are commoner.  None where a text
+    may hold the share of a notice without any pair.
+    """
+    telling, found = set(telling_words()), set()
+    for _, notice in NOTICES:
+        wanted = sorted({p for p in _pairs(notice) if _telling(p, telling)}, key=lambda p: (not telling.issuperset(p.split()), p))
+        enough = [n for n in range(len(wanted) + 1) if n / len(wanted) >= share]
+        if enough and not enough[0]:
+            return None
+        found.update(wanted[: len(wanted) - enough[0] + 1] if enough else [])
+    return sorted(found)
+
+
+# Between two words, and across the end of a line, where one comment mark may stand.
+BETWEEN = "[^a-z0-9+]++"
+ACROSS = f"{BETWEEN}(?:(?:dnl|rem){BETWEEN})?"
+
+
+def _whole(options: dict[str, str]) -> str:
+    """A pattern of whole words, each with what follows it; tried by their first letters."""
+    letters: dict[str, list[str]] = {}
+    for word, behind in sorted(options.items()):
+        letters.setdefault(word[0], []).append(re.escape(word[1:]) + behind)
+    either = "|".join(f"{re.escape(c)}(?:{'|'.join(rest)})" for c, rest in letters.items())
+    return f"(?<![a-z0-9+])(?:{either})(?![a-z0-9+])"
+
+
+def has_word(text: Column, of: list[str]) -> Column:
+    """Whether one of the words is among those of the text."""
+    return F.lower(text).rlike(_whole(dict.fromkeys(of, "")))
+
+
+def may_have_pair(text: Column, of: list[str] | None, between: str = BETWEEN) -> Column:
+    """Whether one of the pairs is among those of the text; always where there is no list."""
+    if of is None:
+        return F.lit(True)
+    behind: dict[str, list[str]] = {}
+    for first, second in (pair.split() for pair in of):
+        behind.setdefault(first, []).append(re.escape(second))
+    if not behind:
+        return F.lit(False)
+    return F.lower(text).rlike(_whole({first: f"{between}(?:{'|'.join(rest)})" for first, rest in behind.items()}))
+
+
 def _table(spark: SparkSession, rows: list[tuple], names: str) -> DataFrame:
     """A small table written into the plan."""
     arrays = [F.struct(*[F.lit(v) if not isinstance(v, list) else F.array(*map(F.lit, v)) for v in row]) for row in rows]
@@ -187,11 +244,14 @@ def wrapped(docs: DataFrame, share: float, id_col: str, text_col: str) -> DataFr
         )
         return F.filter(found, lambda x: x["similarity"] >= share)
 
+    keys = key_pairs(share)
+    docs = docs.filter(may_have_pair(F.col(text_col).cast("string"), keys, ACROSS))
     parts = F.transform(F.split(F.col(text_col).cast("string"), "\n"), part)
     joined = bound(parts, lambda all_: F.transform(all_, lambda first, at: from_line(all_, first, at)))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row"), joined.alias("joined"))
     rows = rows.select("doc_id", "row", F.posexplode("joined").alias("paragraph", "lines")).filter(F.size("lines") > 1)
-    rows = rows.withColumn("line", F.array_join("lines", " ")).withColumn("held", held(F.col("line")))
+    rows = rows.withColumn("line", F.array_join("lines", " ")).filter(may_have_pair(F.col("line"), keys))
+    rows = rows.withColumn("held", held(F.col("line")))
     rows = rows.filter(F.size("held") > 0)
     alone = F.flatten(F.transform("lines", lambda line: F.transform(held(line), lambda x: x["family"])))
     rows = rows.withColumn("alone", F.array_distinct(alone))
@@ -253,13 +313,14 @@ class Classifier:
 
     def suspect(self, of: Column) -> Column:
         """Whether the words may be a notice: they have half of one, or two telling words of one in a row."""
-        telling = set(telling_words())
-        strong = sorted({p for _, t in NOTICES for p in _pairs(t) if telling.issuperset(p.split())})
-        return F.arrays_overlap(pairs(of), F.array(*map(F.lit, strong))) | (F.coalesce(self.similarity(of), F.lit(0.0)) >= 0.5)
+        strong = F.array(*map(F.lit, _strong_pairs()))
+        return F.arrays_overlap(pairs(of), strong) | (F.coalesce(self.similarity(of), F.lit(0.0)) >= 0.5)
 
     def calibrate(self, scored: DataFrame, lines: int, false_alarms: float) -> float:
         """Raise the unknown bias, given the margins of all lines with telling words, and how many lines there are."""
-        suspect = self.suspect(words(F.col("line")))
+        # Few lines have a pair that a suspect one must have; only they are compared.
+        hint = may_have_pair(F.col("line"), sorted({*_strong_pairs(), *key_pairs(0.5)}))
+        suspect = hint & self.suspect(words(F.col("line")))
         step = F.when(~suspect & (F.col("margin") > 0), F.floor(F.col("margin") * 1024).cast("long"))
         # As many rows as margins have steps.
         steps = scored.groupBy(suspect.alias("suspect"), step.alias("step")).count().collect()
@@ -311,9 +372,7 @@ def scan_licences(
     """
     spark = docs.sparkSession
     model = Classifier(spark, _sample(docs, id_col, text_col, sample_docs))
-    telling = F.array(*map(F.lit, telling_words()))
-    lines = paragraphs(docs, id_col, text_col).withColumn("words", words(F.col("line")))
-    lines = lines.filter(F.arrays_overlap("words", telling))
+    lines = written(paragraphs(docs, id_col, text_col).filter(has_word(F.col("line"), telling_words())), "lines")
     # Equal lines are scored once; the join brings them back to their places.
     distinct = lines.select("line").distinct().withColumn("words", words(F.col("line")))
     logits = model.logits(distinct, ["line"])
