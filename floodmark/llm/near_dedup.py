@@ -9,17 +9,20 @@
    (beta law with a flat prior), and a pair below the miss probability is dropped.
 4. Survivors are verified on the full sets, in whole numbers.
 
-A bucket's members are not paired with each other.  In the first round each meets
-one pivot only, the member with the most company in all of its buckets, as the
+A bucket's members are not paired with each other at once.  In the first round each
+meets one pivot only, the member with the most company in all of its buckets, as the
 original of a group of copies has; that settles most groups.  Pivots have met all
 others and leave.  Where the rest of a bucket still spans several components, its
-next 8, 64, 512, 512, ... members are the pivots of the following rounds, and only
-members of other components meet them; the rounds end when no bucket is open, so
-no pair that matters is left out, at any bucket size.
+next 8 members are the pivots of a second round, and only members of other components
+meet them.  What is open then is settled in one last round: all members outside the
+bucket's largest component meet all members of other components.  So there are three
+rounds at any bucket size, and no pair that matters is left out.
 Pairs meet only if the parities of their hashed shingles in 1,024 bits allow the
 bound: bits that differ are shingles not shared, so nothing that could pass is cut.
 
-Pivots meet their members in sort-merge joins, which split a hot pivot's rows.
+In the last round a bucket is dealt into cells of some thousand members a side, and
+cells into as many tasks as their pairs ask for, so a hot bucket is spread.  Its pairs
+grow with the square of a bucket of unlike members, its memory with a cell.
 Signatures, sets and labels are written tables.
 
 Empty texts and those without words have no shingles and are linked with nothing.
@@ -55,13 +58,19 @@ BANDS, ROWS = 32, 4
 BATCH = 32
 MISS = 1e-6
 PARITY_LONGS = 16
-# The most pivots of a bucket in one round.
-PIVOTS = 512
+# The pivots of a bucket in each round but the last, where all that are left are.
+FIRST_PIVOTS = (1, 8)
+# The pivots, and the members they meet, in a cell of the last round.
+PIVOTS = 2048
+# The pairs of a task in the last round, and the most tasks.
+TASK_PAIRS = 2**20
+MOST_TASKS = 20_000
 
 _SEEDS = np.random.default_rng(11)
 _ODD = _SEEDS.integers(1, 2**63, 64).astype(U64) * U64(2) + U64(1)
 _FLIP = _SEEDS.integers(0, 2**32, BANDS * ROWS, dtype=np.uint32)
 _SPREAD = _SEEDS.integers(0, 2**31, BANDS * ROWS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+_PARITY = [f"p{k}" for k in range(PARITY_LONGS)]
 _NODE = "doc_id long, n_shingles long, set_a long, set_b long"
 
 
@@ -236,6 +245,82 @@ def _with_both(pairs: DataFrame, of: DataFrame, column: str, names: tuple[str, s
     return pairs.select("a", "b", *names)
 
 
+def possible(percent: int):
+    """Whether n and p0 to p15, and the same with _a, allow a similarity at the bound.
+
+    The parities are columns, not an array: with an array's bounds checks the join's code
+    was over the 8,000 bytes up to which the JVM compiles a method.
+    """
+    differ = [F.bit_count(F.col(p).bitwiseXOR(F.col(f"{p}_a"))) for p in _PARITY]
+    return sum(differ, F.lit(0)) * (100 + percent) <= (F.col("n") + F.col("n_a")) * (100 - percent)
+
+
+def first_pivots(at: DataFrame, number: int) -> DataFrame:
+    """Of each bucket the members with most company, all columns but the key with _a."""
+    # A rank up to a small number is cut to it in the map tasks already.
+    rank = F.dense_rank().over(Window.partitionBy("key").orderBy(F.desc("company"), "node"))
+    return _as_pivots(at.withColumn("rank", rank).filter(F.col("rank") <= number).drop("rank"))
+
+
+def _as_pivots(at: DataFrame, *keys: str) -> DataFrame:
+    kept = ("key", *keys)
+    return at.select(*kept, *[F.col(c).alias(f"{c}_a") for c in at.columns if c not in kept])
+
+
+def pairs_with(at: DataFrame, pivots: DataFrame, percent: int) -> DataFrame:
+    """The pairs of pivots and later members of other components that may reach the bound."""
+    later = "company < company_a or (company = company_a and node > node_a)"
+    pairs = at.join(pivots, "key").filter("label <> label_a").filter(later)
+    return pairs.filter(possible(percent)).select(F.col("node_a").alias("a"), F.col("node").alias("b"))
+
+
+def pairs_of_rest(at: DataFrame, percent: int) -> DataFrame:
+    """All pairs within a bucket, but of different components, that may reach the bound.
+
+    Members of the bucket's largest component are no pivots.  Pivots are dealt into
+    ``rows`` and members into ``columns`` of about PIVOTS each; a cell is one of each.
+    """
+    counts = at.groupBy("key", "label").count()
+    sizes = counts.groupBy("key").agg(
+        F.max(F.struct("count", "label")).alias("most"), F.sum("count").alias("all")
+    )
+    outside = F.col("all") - F.col("most.count")
+    sizes = written(
+        sizes.select(
+            "key",
+            F.col("most.label").alias("main"),
+            F.ceil(outside / PIVOTS).alias("rows"),
+            F.ceil(F.col("all") / PIVOTS).alias("columns"),
+            (outside.cast("double") * F.col("all")).alias("pairs"),
+        ),
+        "sizes",
+    )
+    total = sizes.agg(F.sum("pairs")).first()[0]
+    tasks = int(min(total // TASK_PAIRS + 1, MOST_TASKS))
+
+    def dealt(into):
+        return F.pmod(F.xxhash64("node"), into)
+
+    def each(of):
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.col(of) - 1))
+
+    cell = ("key", "row", "column")
+    at = at.join(sizes.drop("pairs"), "key")
+    pivots = at.filter("label <> main").withColumn("row", dealt("rows")).withColumn("column", each("columns"))
+    members = at.withColumn("column", dealt("columns")).withColumn("row", each("rows"))
+    pivots = _as_pivots(pivots.drop("company", "main", "rows", "columns"), "row", "column")
+    members = members.drop("company", "rows", "columns")
+    pairs = (
+        # A number of tasks that is given is not lowered for a small number of bytes.
+        members.repartition(tasks, *cell)
+        .join(pivots.repartition(tasks, *cell).hint("merge"), list(cell))
+        .filter("label <> label_a")
+        .filter("label = main or node > node_a")
+        .filter(possible(percent))
+    )
+    return pairs.select(F.col("node_a").alias("a"), F.col("node").alias("b"))
+
+
 def near_duplicates(
     docs: DataFrame,
     percent: int = 75,
@@ -273,12 +358,12 @@ def near_duplicates(
     company = buckets.join(sizes, "key").groupBy("node").agg(F.sum("others").alias("company"))
     company = written(company, "company")
     signs = nodes.select("node", "signature")
-    known = nodes.select("node", F.col("n_shingles").alias("n"), "parity").join(company, "node")
+    parity = [F.col("parity")[k].alias(p) for k, p in enumerate(_PARITY)]
+    known = nodes.select("node", F.col("n_shingles").alias("n"), *parity).join(company, "node")
     busy = company.select("node")
     shingles = None
     labels = written(components(same), "labels")
-    number = 1
-    while True:
+    for number in (*FIRST_PIVOTS, None):
         label = F.coalesce("component", "node").alias("label")
         at = buckets.join(labels, "node", "left").select("key", "node", label)
         open_ = at.groupBy("key").agg(
@@ -288,31 +373,15 @@ def near_duplicates(
         at = written(at.join(open_, "key").join(known, "node"), "open")
         if at.isEmpty():
             break
-        # A rank up to a small number is cut to it in the map tasks already.
-        rank = F.dense_rank().over(Window.partitionBy("key").orderBy(F.desc("company"), "node"))
-        pivots = at.withColumn("rank", rank).filter(F.col("rank") <= number).select(
-            "key", *[F.col(c).alias(f"{c}_a") for c in ("node", "label", "company", "n", "parity")]
-        )
-        later = "company < company_a or (company = company_a and node > node_a)"
-        differ = sum(
-            (F.bit_count(F.col("parity")[k].bitwiseXOR(F.col("parity_a")[k])) for k in range(PARITY_LONGS)),
-            F.lit(0),
-        )
-        both = F.col("n") + F.col("n_a")
-        possible = (both - differ) * 100 >= (both + differ) * percent
-        pairs = (
-            at.join(pivots, "key")
-            .filter("label <> label_a")
-            .filter(later)
-            .filter(possible)
-            .select(F.col("node_a").alias("a"), F.col("node").alias("b"))
-            .distinct()
-        )
-        met = pivots.select("key", F.col("node_a").alias("node"))
-        buckets = at.join(met, ["key", "node"], "left_anti").select("key", "node").distinct()
-        number = min(8 * number, PIVOTS)
-        pairs = likely(_with_both(pairs, signs, "signature", ("sign_a", "sign_b")), percent / 100, miss)
-        pairs = written(pairs, "likely")
+        if number:
+            pivots = first_pivots(at, number)
+            pairs = pairs_with(at, pivots, percent)
+            met = pivots.select("key", F.col("node_a").alias("node"))
+            buckets = at.join(met, ["key", "node"], "left_anti").select("key", "node").distinct()
+        else:
+            pairs = pairs_of_rest(at, percent)
+        both = _with_both(pairs.distinct(), signs, "signature", ("sign_a", "sign_b"))
+        pairs = written(likely(both, percent / 100, miss), "likely")
         if shingles is None:
             of = texts.withColumnRenamed("doc_id", "node").join(busy, "node")
             shingles = written(full_sets(of), "sets")

@@ -103,6 +103,38 @@ def test_a_bucket_of_unlike_members(spark, monkeypatch, pivots):
     assert found == brute_force(texts)
 
 
+def test_rounds_do_not_grow_with_a_bucket(spark, monkeypatch):
+    """Unlike members are settled in three rounds, though a cell holds a few of them only."""
+    monkeypatch.setattr(near_dedup, "PIVOTS", 4)
+    tables, write = [], near_dedup.written
+    monkeypatch.setattr(near_dedup, "written", lambda frame, name: tables.append(name) or write(frame, name))
+    common = words(60)
+    texts = {n: " ".join(common + words(20)) for n in range(120)}
+    for n in range(120, 150):
+        copy = texts[n - 90].split()
+        copy[int(RANDOM.integers(60, 80))] = "changed"
+        texts[n] = " ".join(copy)
+    frame = spark.createDataFrame(list(texts.items()), DOCS)
+    found = {r["doc_id"]: r["component_id"] for r in near_dedup.near_duplicates(frame).collect()}
+    assert found == brute_force(texts)
+    assert tables.count("open") == 3
+
+
+def test_cells_hold_every_pair_of_a_bucket(spark, monkeypatch):
+    """Members of different components meet just once, whatever the number of cells."""
+    members = [(k, n, n % 40 if n < 60 else 1000 * k) for k, size in ((1, 100), (2, 3)) for n in range(size)]
+    expected = {(min(a[1], b[1]), max(a[1], b[1])) for a in members for b in members if a[0] == b[0] and a[2] != b[2]}
+    at = spark.createDataFrame(members, "key long, node long, label long").selectExpr(
+        "*", "100L as n", "1L as company", *[f"0L as p{k}" for k in range(near_dedup.PARITY_LONGS)]
+    )
+    for size in (1000, 7):
+        monkeypatch.setattr(near_dedup, "PIVOTS", size)
+        pairs = near_dedup.pairs_of_rest(at.filter("key = 1"), 75).collect()
+        assert {tuple(sorted(p)) for p in pairs} == {p for p in expected} and len(pairs) == len(expected)
+        few = near_dedup.pairs_of_rest(at.filter("key = 2"), 75).collect()
+        assert sorted(tuple(sorted(p)) for p in few) == [(0, 1), (0, 2), (1, 2)]
+
+
 def test_ids_beyond_doubles_stay_exact(spark):
     big = 2**53 + 1
     docs = spark.createDataFrame([(big, "one two"), (None, "one two"), (-big, "three")], DOCS)
